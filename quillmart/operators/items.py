@@ -157,10 +157,9 @@ def item_projects(src: Sources, p: Params) -> DataFrame:
             .distinct())
 
 
-def item_people(items: DataFrame, src: Sources, p: Params) -> DataFrame:
-    """Assignee name/email/position and completer name: 1:1 left joins.
-
-    One deduplicated user frame serves both roles."""
+def people_joins(rows: DataFrame, src: Sources, p: Params, workers: DataFrame | None) -> DataFrame:
+    """Assignee name/email/position, completer name, optionally the worker
+    directory (fan-out by email).  One deduplicated user frame serves both roles."""
     users = latest_users(src, p)
     assignee = users.select(F.col("user_id").alias("__a_id"), F.col("user_name").alias("task_assignee_name"),
                             F.col("user_email").alias("task_assignee_email"))
@@ -168,21 +167,48 @@ def item_people(items: DataFrame, src: Sources, p: Params) -> DataFrame:
                              F.col("user_name").alias("task_completed_by_name"))
     position = latest_pay_rate(src, p).select(F.col("worker_email").alias("__w_email"),
                                               F.col("position_title").alias("task_assignee_position"))
-    return (items
-            .join(assignee, F.col("task_assignee_id") == F.col("__a_id"), "left")
-            .join(position, F.col("task_assignee_email") == F.col("__w_email"), "left")
-            .join(completer, F.col("task_completed_by") == F.col("__c_id"), "left")
-            .drop("__a_id", "__c_id", "__w_email"))
-
-
-def item_core(src: Sources, p: Params) -> DataFrame:
-    """Items x fields x people x projects, unique per (task_id, project_id, project_name)."""
+    out = (rows
+           .join(assignee, F.col("task_assignee_id") == F.col("__a_id"), "left")
+           .join(position, F.col("task_assignee_email") == F.col("__w_email"), "left")
+           .join(completer, F.col("task_completed_by") == F.col("__c_id"), "left")
+           .drop("__a_id", "__c_id", "__w_email"))
+    if workers is not None:
+        from quillmart.plans.marts import worker_directory
+        out = (out.join(worker_directory(workers), F.col("task_assignee_email") == F.col("__w_email"), "left")
+               .drop("__w_email"))
+    return out
+
+
+def item_rows(src: Sources, p: Params, companies: DataFrame | None = None,
+              workers: DataFrame | None = None) -> DataFrame:
+    """Current items with fields, people, projects and (optionally) companies
+    and worker-directory names, before the due-date columns are derived.
+
+    The wide item rows shuffle once (the version window, on ``task_id``).  Each
+    dimension is joined to a *narrow* (task_id, foreign keys) frame, and the
+    narrow results join back on ``task_id``, which keeps the window's
+    partitioning: no further shuffle of wide rows.  Rows with a NULL item id
+    (at most one) cannot join back by id and take the direct joins instead.
+    """
     items = current_items(src, p)
-    enriched = items.join(item_fields(src, p), "task_id", "left")
-    enriched = item_people(enriched, src, p)
-    enriched = due_instants(enriched, p.source_zone, p.due_zone, p.strict_parse)
-    enriched = enriched.select("*", *completion_ids())
-    return enriched.join(item_projects(src, p), "task_id", "left")
+    keyed = items.filter(F.col("task_id").isNotNull())
+    people = people_joins(keyed.select("task_id", "task_assignee_id", "task_completed_by"), src, p, workers)
+    people = people.drop("task_assignee_id", "task_completed_by")
+    projects = item_projects(src, p)
+    if companies is not None:
+        projects = attach_companies(projects, companies)
+    main = (keyed.join(item_fields(src, p), "task_id", "left")
+            .join(people, "task_id", "left")
+            .join(projects, "task_id", "left"))
+    orphans = people_joins(items.filter(F.col("task_id").isNull()), src, p, workers)
+    return main.unionByName(orphans, allowMissingColumns=True)
+
+
+def item_core(src: Sources, p: Params, companies: DataFrame | None = None,
+              workers: DataFrame | None = None) -> DataFrame:
+    """``item_rows`` plus UTC instants, last/original due dates and completion ids."""
+    rows = item_rows(src, p, companies, workers)
+    return due_instants(rows, p.source_zone, p.due_zone, p.strict_parse).select("*", *completion_ids())
 
 
 def company_dimension(src: Sources, p: Params, columns: Sequence[str] = COMPANY_COLUMNS) -> DataFrame:
@@ -192,13 +218,12 @@ def company_dimension(src: Sources, p: Params, columns: Sequence[str] = COMPANY_
     return comp.select("asana_project_id", *columns).distinct()
 
 
-def attach_companies(core: DataFrame, companies: DataFrame) -> DataFrame:
+def attach_companies(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Fan-out left join on the project id (as text) = linked project id."""
-    return (core.join(companies, F.col("project_id").cast("string") == F.col("asana_project_id"), "left")
+    return (rows.join(companies, F.col("project_id").cast("string") == F.col("asana_project_id"), "left")
             .drop("asana_project_id"))
 
 
 def denormalize_items(src: Sources, p: Params) -> DataFrame:
     """The job's 39-column staging table; rows are unique by construction."""
-    stg = attach_companies(item_core(src, p), company_dimension(src, p))
-    return stg.select(*STG_COLUMNS)
+    return item_core(src, p, company_dimension(src, p)).select(*STG_COLUMNS)

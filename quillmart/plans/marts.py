@@ -18,7 +18,6 @@ from quillmart.operators.items import (
     FIELD_COLUMNS,
     Params,
     Sources,
-    attach_companies,
     company_dimension,
     item_core,
 )
@@ -60,14 +59,18 @@ def worker_directory(workers: DataFrame) -> DataFrame:
             .distinct())
 
 
+def _metrics(rows: DataFrame, as_of, columns: list[str]) -> DataFrame:
+    # status_flags reuse the name task_is_completed for the id-or-NULL flag.
+    out = rows.select(*[c for c in rows.columns if c != "task_is_completed"],
+                      *status_flags(), *sla_metrics(as_of), *sla_flags())
+    return out.select(*columns)
+
+
 def _mart(stg: DataFrame, workers: DataFrame, as_of, columns: list[str],
           assume_unique_stg: bool) -> DataFrame:
     joined = stg.join(worker_directory(workers),
                       F.col("task_assignee_email") == F.col("__w_email"), "left")
-    # status_flags reuse the name task_is_completed for the id-or-NULL flag.
-    out = joined.select(*[c for c in joined.columns if c != "task_is_completed"],
-                        *status_flags(), *sla_metrics(as_of), *sla_flags())
-    out = out.select(*columns)
+    out = _metrics(joined, as_of, columns)
     return out if assume_unique_stg else out.distinct()
 
 
@@ -86,11 +89,15 @@ def adherence_mart(stg: DataFrame, workers: DataFrame, as_of, assume_unique_stg:
     return _mart(stg, workers, as_of, ADHERENCE_MART_COLUMNS, assume_unique_stg)
 
 
-def mart_frames(src: Sources, p: Params, core: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both marts from one shared item core, with no wide DISTINCT."""
-    core = core if core is not None else item_core(src, p)
-    full = attach_companies(core, company_dimension(src, p, COMPANY_COLUMNS))
+def mart_frames(src: Sources, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Both marts with no wide DISTINCT and one wide shuffle each.
+
+    The item rows, the company dimension (distinct on the columns each mart
+    keeps) and the worker directory are joined on narrow frames; see
+    ``item_rows``.
+    """
     narrow_cols = [c for c in COMPANY_COLUMNS if c not in BRAND_COLUMNS]
-    narrow = attach_companies(core, company_dimension(src, p, narrow_cols))
-    return (item_mart(full, src.workers, p.as_of, assume_unique_stg=True),
-            adherence_mart(narrow, src.workers, p.as_of, assume_unique_stg=True))
+    full = item_core(src, p, company_dimension(src, p, COMPANY_COLUMNS), src.workers)
+    narrow = item_core(src, p, company_dimension(src, p, narrow_cols), src.workers)
+    return (_metrics(full, p.as_of, ITEM_MART_COLUMNS),
+            _metrics(narrow, p.as_of, ADHERENCE_MART_COLUMNS))
