@@ -88,34 +88,45 @@ def evolve_schema(target: DataFrame | None, incoming: DataFrame, synced_col: str
 # ---------------------------------------------------------------- equality --
 
 def canonical(c: Column, dtype: T.DataType) -> Column:
-    """One comparable token per value (NULL for NULL).
+    """One comparable token per value (NULL for NULL): a struct (kind, number, text).
 
-    ``n:<double>`` for booleans (1/0), numbers and numeric text -- so those
-    compare numerically, booleans included; ``j:<JSON with sorted keys>`` for
-    JSON text; ``t:<text>`` for other text; ``o:<type>:<text>`` for other types.
-    Two values are equal when their tokens are equal (NULL = NULL).
+    kind ``n`` with the number for booleans (1/0), numbers and numeric text --
+    so those compare numerically, booleans included; ``j`` with the JSON text
+    re-serialised with sorted keys; ``t`` with the text otherwise; ``o:<type>``
+    with the text form for other types.  Two values are equal when their tokens
+    are equal (NULL = NULL).
     """
-    def num(x: Column) -> Column:
-        d = x.cast("double")
-        return F.concat(F.lit("n:"), F.when(d == 0, F.lit("0.0")).otherwise(d.cast("string")))
+    null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def tok(kind, num, text):
+        return F.struct(F.lit(kind).alias("k") if isinstance(kind, str) else kind.alias("k"),
+                        num.alias("n"), text.alias("t"))
 
     if isinstance(dtype, (T.BooleanType, T.NumericType)):
-        return num(c)
+        return F.when(c.isNotNull(), tok("n", c.cast("double"), null_s))
     if isinstance(dtype, T.StringType):
         low = F.lower(c)
         parsed = F.try_parse_json(c)
-        return (F.when(low == "true", F.lit("n:1.0"))
-                .when(low == "false", F.lit("n:0.0"))
+        return (F.when(c.isNull(), F.lit(None))
+                .when(low == "true", tok("n", F.lit(1.0), null_s))
+                .when(low == "false", tok("n", F.lit(0.0), null_s))
                 .when((c.startswith("{") | c.startswith("[")) & parsed.isNotNull(),
-                      F.concat(F.lit("j:"), F.to_json(parsed)))
-                .when(c.rlike(NUMERIC_TEXT), num(F.regexp_replace(F.trim(c), "_", "").try_cast("double")))
-                .otherwise(F.concat(F.lit("t:"), c)))
-    return F.concat(F.lit(f"o:{dtype.simpleString()}:"), c.cast("string"))
+                      tok("j", null_d, F.to_json(parsed)))
+                .when(c.rlike(NUMERIC_TEXT),
+                      tok("n", F.regexp_replace(F.trim(c), "_", "").try_cast("double"), null_s))
+                .otherwise(tok("t", null_d, c)))
+    return F.when(c.isNotNull(), tok(f"o:{dtype.simpleString()}", null_d, c.cast("string")))
 
 
 def values_equal(a: Column, a_type: T.DataType, b: Column, b_type: T.DataType) -> Column:
-    """The upsert's equality rule as one built-in expression (never NULL)."""
-    return canonical(a, a_type).eqNullSafe(canonical(b, b_type))
+    """The upsert's equality rule as one built-in expression (never NULL).
+
+    Same-typed values that are identical skip canonicalisation.
+    """
+    full = canonical(a, a_type).eqNullSafe(canonical(b, b_type))
+    if a_type == b_type:
+        return F.when(a.eqNullSafe(b), F.lit(True)).otherwise(full)
+    return full
 
 
 # ------------------------------------------------------------ classification --
@@ -134,8 +145,13 @@ def keyed_lookup(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def _matched(target: DataFrame, incoming: DataFrame, key: str, synced_col: str) -> DataFrame:
-    """Incoming rows with the stored row's compared columns (``__old_*``),
-    per-column ``__chg_*`` flags and an ``__action`` of insert/update/unchanged."""
+    """Incoming rows with the stored row's columns (``__old_*``), per-column
+    ``__chg_*`` flags, ``__hit`` (a stored row exists), ``__action`` of
+    insert/update/unchanged and ``__changed`` (changed column names).
+
+    Canonical tokens are computed on each side *below* the join, once per row;
+    above it a change flag is a plain comparison of two token columns.
+    """
     inc = incoming.drop(synced_col) if synced_col in incoming.columns else incoming
     evolved = evolve_schema(target, inc, synced_col)
     cols = _compared(inc, key, synced_col)

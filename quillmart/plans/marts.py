@@ -89,15 +89,20 @@ def adherence_mart(stg: DataFrame, workers: DataFrame, as_of, assume_unique_stg:
     return _mart(stg, workers, as_of, ADHERENCE_MART_COLUMNS, assume_unique_stg)
 
 
-def mart_frames(src: Sources, p: Params) -> tuple[DataFrame, DataFrame]:
-    """Both marts with no wide DISTINCT and one wide shuffle each.
+def item_mart_frame(src: Sources, p: Params) -> DataFrame:
+    """The item mart with no wide DISTINCT and one wide shuffle (see ``item_rows``)."""
+    full = item_core(src, p, company_dimension(src, p, COMPANY_COLUMNS), src.workers)
+    return _metrics(full, p.as_of, ITEM_MART_COLUMNS)
 
-    The item rows, the company dimension (distinct on the columns each mart
-    keeps) and the worker directory are joined on narrow frames; see
-    ``item_rows``.
-    """
+
+def adherence_mart_frame(src: Sources, p: Params) -> DataFrame:
+    """The adherence mart; its company dimension is distinct without the brand
+    names, so no DISTINCT is needed after dropping them."""
     narrow_cols = [c for c in COMPANY_COLUMNS if c not in BRAND_COLUMNS]
-    full = item_core(src, p, company_dimension(src, p, COMPANY_COLUMNS), src.workers)
     narrow = item_core(src, p, company_dimension(src, p, narrow_cols), src.workers)
-    return (_metrics(full, p.as_of, ITEM_MART_COLUMNS),
-            _metrics(narrow, p.as_of, ADHERENCE_MART_COLUMNS))
+    return _metrics(narrow, p.as_of, ADHERENCE_MART_COLUMNS)
+
+
+def mart_frames(src: Sources, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Both marts (item, adherence)."""
+    return item_mart_frame(src, p), adherence_mart_frame(src, p)

@@ -44,7 +44,7 @@ from quillmart.operators.sync import (
     values_equal,
 )
 from quillmart.operators.versions import latest_version, version_rank
-from quillmart.plans.marts import ITEM_MART_CLUSTER, PARTITION_SOURCE, mart_frames
+from quillmart.plans.marts import ITEM_MART_CLUSTER, PARTITION_SOURCE, adherence_mart_frame, item_mart_frame
 from quillmart.session import scratch_dir
 from quillmart.sources.fixtures import Fixtures
 from quillmart.sources.lookup import code_lookup, code_table
@@ -66,8 +66,19 @@ def sources(fx: Fixtures) -> Sources:
                    deal_company=fx["f_deal_company"], deal=fx["f_deal"], owner=fx["f_owner"])
 
 
+_FIXTURES: dict[tuple[int, str], Fixtures] = {}
+
+
+def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
+    """Derived tables per (session, folder); frames are immutable, so queries share them."""
+    k = (id(spark), sf_dir)
+    if k not in _FIXTURES:
+        _FIXTURES[k] = Fixtures(spark, sf_dir)
+    return _FIXTURES[k]
+
+
 def _src(spark: SparkSession, sf_dir: str) -> tuple[Fixtures, Sources, Params]:
-    fx = Fixtures(spark, sf_dir)
+    fx = fixtures(spark, sf_dir)
     return fx, sources(fx), params()
 
 
@@ -95,17 +106,17 @@ WHERE rn = 1 AND is_deleted != TRUE
 
 
 def q_run_query_text(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = fixtures(spark, sf_dir)
     return run_query(spark, text=RUN_QUERY_TEXT, f_task=fx["f_task"])
 
 
 def q_keyed_lookup(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = fixtures(spark, sf_dir)
     return keyed_lookup(fx["f_sync_existing"], fx["f_sync_incoming"], "ref_id")
 
 
 def q_code_lookup(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = fixtures(spark, sf_dir)
     cat = fx.catalog
     table = code_table(cat["nation"], "n_nationkey", "n_name")
     return code_lookup(cat["customer"].select("c_custkey", "c_nationkey"), "c_nationkey", table,
@@ -114,7 +125,7 @@ def q_code_lookup(spark, sf_dir):
 
 def q_mart_write_readback(spark, sf_dir):
     _, src, p = _src(spark, sf_dir)
-    mart = mart_frames(src, p)[0]
+    mart = item_mart_frame(src, p)
     path = scratch_dir(spark, "item-mart")
     write_mart(mart, path, PARTITION_SOURCE, ITEM_MART_CLUSTER)
     return read_mart(spark, path)
@@ -290,12 +301,12 @@ def q_denormalized_items(spark, sf_dir):
 
 def q_item_mart(spark, sf_dir):
     _, src, p = _src(spark, sf_dir)
-    return mart_frames(src, p)[0]
+    return item_mart_frame(src, p)
 
 
 def q_adherence_mart(spark, sf_dir):
     _, src, p = _src(spark, sf_dir)
-    return mart_frames(src, p)[1]
+    return adherence_mart_frame(src, p)
 
 
 # -------------------------------------------------------------------- sync --
@@ -305,7 +316,7 @@ SYNC_AS_OF = dt.datetime(2002, 1, 1, 0, 0, 0)
 
 
 def _sync(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
+    fx = fixtures(spark, sf_dir)
     return fx["f_sync_existing"], fx["f_sync_incoming"]
 
 
