@@ -179,35 +179,47 @@ def people_joins(rows: DataFrame, src: Sources, p: Params, workers: DataFrame |
     return out
 
 
-def item_rows(src: Sources, p: Params, companies: DataFrame | None = None,
-              workers: DataFrame | None = None) -> DataFrame:
-    """Current items with fields, people, projects and (optionally) companies
-    and worker-directory names, before the due-date columns are derived.
-
-    The wide item rows shuffle once (the version window, on ``task_id``).  Each
-    dimension is joined to a *narrow* (task_id, foreign keys) frame, and the
-    narrow results join back on ``task_id``, which keeps the window's
-    partitioning: no further shuffle of wide rows.  Rows with a NULL item id
-    (at most one) cannot join back by id and take the direct joins instead.
+def item_base(src: Sources, p: Params, workers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(keyed, orphans): current items with fields and people.
+
+    ``keyed`` holds items with an id, hash-partitioned on ``task_id`` by the
+    version window -- the only shuffle of the wide rows.  Each dimension is
+    joined to a *narrow* (task_id, foreign keys) frame and the narrow result
+    joins back on ``task_id``, which keeps that partitioning.  ``orphans`` are
+    rows with a NULL id (at most one): they cannot join back by id and take the
+    direct joins instead.
     """
     items = current_items(src, p)
     keyed = items.filter(F.col("task_id").isNotNull())
     people = people_joins(keyed.select("task_id", "task_assignee_id", "task_completed_by"), src, p, workers)
     people = people.drop("task_assignee_id", "task_completed_by")
+    keyed = keyed.join(item_fields(src, p), "task_id", "left").join(people, "task_id", "left")
+    orphans = people_joins(items.filter(F.col("task_id").isNull()), src, p, workers)
+    return keyed, orphans
+
+
+def item_rows(src: Sources, p: Params, companies: DataFrame | None = None,
+              workers: DataFrame | None = None,
+              base: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Current items with fields, people, projects and (optionally) companies
+    and worker-directory names, before the due-date columns are derived.
+
+    Projects and companies are joined narrow too (fan-out happens on the
+    narrow side) and join back on ``task_id``.  ``base`` lets several outputs
+    share one materialised ``item_base``.
+    """
+    keyed, orphans = base if base is not None else item_base(src, p, workers)
     projects = item_projects(src, p)
     if companies is not None:
         projects = attach_companies(projects, companies)
-    main = (keyed.join(item_fields(src, p), "task_id", "left")
-            .join(people, "task_id", "left")
-            .join(projects, "task_id", "left"))
-    orphans = people_joins(items.filter(F.col("task_id").isNull()), src, p, workers)
-    return main.unionByName(orphans, allowMissingColumns=True)
+    return keyed.join(projects, "task_id", "left").unionByName(orphans, allowMissingColumns=True)
 
 
 def item_core(src: Sources, p: Params, companies: DataFrame | None = None,
-              workers: DataFrame | None = None) -> DataFrame:
+              workers: DataFrame | None = None,
+              base: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``item_rows`` plus UTC instants, last/original due dates and completion ids."""
-    rows = item_rows(src, p, companies, workers)
+    rows = item_rows(src, p, companies, workers, base)
     return due_instants(rows, p.source_zone, p.due_zone, p.strict_parse).select("*", *completion_ids())
 
 

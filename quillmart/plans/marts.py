@@ -89,17 +89,17 @@ def adherence_mart(stg: DataFrame, workers: DataFrame, as_of, assume_unique_stg:
     return _mart(stg, workers, as_of, ADHERENCE_MART_COLUMNS, assume_unique_stg)
 
 
-def item_mart_frame(src: Sources, p: Params) -> DataFrame:
-    """The item mart with no wide DISTINCT and one wide shuffle (see ``item_rows``)."""
-    full = item_core(src, p, company_dimension(src, p, COMPANY_COLUMNS), src.workers)
+def item_mart_frame(src: Sources, p: Params, base=None) -> DataFrame:
+    """The item mart with no wide DISTINCT and one wide shuffle (see ``item_base``)."""
+    full = item_core(src, p, company_dimension(src, p, COMPANY_COLUMNS), src.workers, base)
     return _metrics(full, p.as_of, ITEM_MART_COLUMNS)
 
 
-def adherence_mart_frame(src: Sources, p: Params) -> DataFrame:
+def adherence_mart_frame(src: Sources, p: Params, base=None) -> DataFrame:
     """The adherence mart; its company dimension is distinct without the brand
     names, so no DISTINCT is needed after dropping them."""
     narrow_cols = [c for c in COMPANY_COLUMNS if c not in BRAND_COLUMNS]
-    narrow = item_core(src, p, company_dimension(src, p, narrow_cols), src.workers)
+    narrow = item_core(src, p, company_dimension(src, p, narrow_cols), src.workers, base)
     return _metrics(narrow, p.as_of, ADHERENCE_MART_COLUMNS)
 
 

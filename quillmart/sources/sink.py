@@ -73,9 +73,14 @@ class SnapshotTable:
         v = self.versions()
         return self.spark.read.parquet(f"{self.base}/v={v[-1]:06d}") if v else None
 
-    def commit(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version; returns its number."""
+    def commit(self, df: DataFrame, version: int | None = None) -> int:
+        """Write ``df`` as ``version`` (default: next); returns its number.
+
+        Versions must increase; an existing folder is never overwritten.
+        """
         v = self.versions()
-        nxt = (v[-1] + 1) if v else 1
+        nxt = version if version is not None else ((v[-1] + 1) if v else 1)
+        if v and nxt <= v[-1]:
+            raise ValueError(f"version {nxt} is not after current version {v[-1]}")
         df.write.mode("errorifexists").parquet(f"{self.base}/v={nxt:06d}")
         return nxt
