@@ -107,13 +107,14 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         low = F.lower(c)
         parsed = F.try_parse_json(c)
+        # cheap cast first; the strict-number pattern only runs when it succeeds
+        number = F.replace(F.trim(c), F.lit("_"), F.lit("")).try_cast("double")
         return (F.when(c.isNull(), F.lit(None))
                 .when(low == "true", tok("n", F.lit(1.0), null_s))
                 .when(low == "false", tok("n", F.lit(0.0), null_s))
                 .when((c.startswith("{") | c.startswith("[")) & parsed.isNotNull(),
                       tok("j", null_d, F.to_json(parsed)))
-                .when(c.rlike(NUMERIC_TEXT),
-                      tok("n", F.regexp_replace(F.trim(c), "_", "").try_cast("double"), null_s))
+                .when(number.isNotNull() & c.rlike(NUMERIC_TEXT), tok("n", number, null_s))
                 .otherwise(tok("t", null_d, c)))
     return F.when(c.isNotNull(), tok(f"o:{dtype.simpleString()}", null_d, c.cast("string")))
 
