@@ -76,7 +76,11 @@ def version_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     keys = list(keys)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(k).asc_nulls_first() for k in keys] + _order(order_by)
+    # The row hash last splits versions that tie on (key, order) -- a hot key
+    # whose versions share one timestamp still spreads over partitions.  Tied
+    # rows get distinct consecutive ranks in an arbitrary order, as in SQL.
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    sort = [F.col(k).asc_nulls_first() for k in keys] + _order(order_by) + [spread]
     pid = "__pid"
     # Explicit partition count: AQE does not coalesce it, so partition ids are
     # stable between the two reads of the shared exchange below.

@@ -1,8 +1,9 @@
 """Partitioned mart writes and versioned snapshot tables.
 
 ``write_mart`` is the full-refresh, day-partitioned, clustered table of the job.
-Rows are range-partitioned on (day, clustering columns) so one heavy day is
-split across many tasks instead of landing in one, and each task writes sorted
+Rows are range-partitioned on (day, clustering columns, row hash) so one heavy
+day -- even one heavy (day, cluster values) group -- is split across many
+tasks instead of landing in one, and each task writes sorted
 files whose row-group min/max statistics serve the clustering columns.
 
 ``SnapshotTable`` keeps each upsert result as a new folder ``v=<n>`` and reads
@@ -31,7 +32,10 @@ def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequenc
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn(DAY_COL, F.to_date(F.col(partition_source)))
     order = [F.col(DAY_COL)] + [F.col(c) for c in cluster]
-    (keyed.repartitionByRange(n, *order)
+    # A row hash last in the range key splits a (day, cluster values) group
+    # that holds a large share of all rows; identical keys alone cannot be split.
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    (keyed.repartitionByRange(n, *order, spread)
      .sortWithinPartitions(*order)
      .write.mode("overwrite")
      .option("maxRecordsPerFile", max_records_per_file)

@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 from quillmart.operators.versions import latest_version, version_rank
 
 
+def _key(t):
+    return tuple((x is None, x if x is not None else 0) for x in t)
+
+
 def _rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_key)
 
 
 def test_latest_version_nulls_last_and_tiebreak(spark):
@@ -16,7 +20,7 @@ def test_latest_version_nulls_last_and_tiebreak(spark):
          (None, 1, 1, "f"), (None, 2, 1, "g")],
         "k int, v int, tb int, x string")
     out = latest_version(df, ["k"], ["v", "tb"])
-    assert _rows(out, "k", "x") == sorted([(1, "c"), (2, "e"), (None, "g")], key=lambda t: (t[0] is not None, t))
+    assert _rows(out, "k", "x") == sorted([(1, "c"), (2, "e"), (None, "g")], key=_key)
 
 
 def test_latest_version_is_partial_before_shuffle(spark):
@@ -47,4 +51,24 @@ def test_version_rank_multi_column_key(spark):
                                "a int, b string, v int")
     got = version_rank(df, ["a", "b"], ["v"], rank_col="rn", num_partitions=3)
     assert _rows(got, "a", "b", "v", "rn") == sorted(
-        [(1, "a", 3, 1), (1, "a", 2, 2), (1, "a", 1, 3), (1, "b", 2, 1), (2, "a", 9, 1)])
+        [(1, "a", 3, 1), (1, "a", 2, 2), (1, "a", 1, 3), (1, "b", 2, 1), (2, "a", 9, 1)], key=_key)
+
+
+def test_version_rank_hot_key_with_tied_versions(spark):
+    # a third of the rows share one key AND one version: the row hash must split them
+    tied = spark.range(3000).select(F.lit(1).alias("k"), F.lit(5).alias("v"), F.col("id").alias("x"))
+    rest = spark.range(6000).select((F.col("id") % 100 + 2).alias("k"), (F.col("id") % 7).alias("v"),
+                                    F.col("id").alias("x"))
+    df = tied.union(rest)
+    got = version_rank(df, ["k"], ["v"], rank_col="rn", num_partitions=6)
+    hot = got.filter(F.col("k") == 1)
+    assert sorted(r.rn for r in hot.select("rn").collect()) == list(range(1, 3001))
+    sizes = (df.repartitionByRange(6, F.col("k").asc_nulls_first(), F.col("v").desc_nulls_last(),
+                                   F.xxhash64("k", "v", "x"))
+             .filter(F.col("k") == 1).groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) > 1
+    w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last())
+    want = df.withColumn("rn", F.row_number().over(w))
+    # ranks per (k, v) group form the same multiset
+    assert sorted(got.groupBy("k", "v").agg(F.min("rn"), F.max("rn")).collect()) == \
+        sorted(want.groupBy("k", "v").agg(F.min("rn"), F.max("rn")).collect())
