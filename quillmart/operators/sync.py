@@ -262,8 +262,17 @@ def check_unique_keys(df: DataFrame, key: str, what: str) -> None:
 
 
 def sync_frames(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
-                synced_col: str = SYNCED_AT, validate: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(new table, per-action counts) for one upsert; validates keys first."""
+                synced_col: str = SYNCED_AT, validate: bool = True,
+                dedupe_order: Sequence | None = None) -> tuple[DataFrame, DataFrame]:
+    """(new table, per-action counts) for one upsert.
+
+    Keys must be unique and non-NULL.  With ``dedupe_order`` the incoming batch
+    is first reduced to its newest row per key by that order (descending,
+    NULLs last); otherwise duplicates raise.  NULL keys always raise.
+    """
+    if dedupe_order is not None:
+        from quillmart.operators.versions import latest_version
+        incoming = latest_version(incoming, [key], dedupe_order)
     if validate:
         check_unique_keys(incoming, key, "incoming")
         if target is not None:

@@ -111,3 +111,15 @@ def test_empty_incoming_keeps_target(spark):
     empty = spark.createDataFrame([], "k long, s string")
     new = apply_upsert(t, empty, "k", AS_OF)
     assert sorted(map(tuple, new.collect())) == sorted(map(tuple, t.collect()))
+
+
+def test_duplicate_incoming_deduped_by_order(spark):
+    t = _target(spark)
+    inc = spark.createDataFrame(
+        [(2, "old", "2", "false", None, 1), (2, "newest", "2", "false", None, 2)],
+        "k long, s string, x string, f string, extra string, ver int")
+    new, summary = sync_frames(t, inc, "k", AS_OF, dedupe_order=["ver"])
+    row = new.filter("k = 2").first()
+    assert row.s == "newest"
+    counts = {r.action: r.n for r in summary.collect()}
+    assert counts["update"] == 1 and counts["keep"] == 2
