@@ -10,7 +10,9 @@ send all rows of a hot key to one task, so the ranking runs on a range
 partitioning of (key, version): a hot key spans many partitions, each partition
 numbers its rows locally (Arrow batches, in order), and a per-partition offset
 table -- one row per partition, so its size is bounded by the partition count
-and it is safe to broadcast -- lifts the local numbers to the key's rank.
+and it is safe to broadcast -- lifts the local numbers to the key's rank.  The
+range-partitioned rows are checkpointed once so both passes see identical
+partitions.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmart.functions.scalars import as_col
+from quillmart.session import scratch_dir
 
 _RN = "__rn"
 
@@ -82,10 +85,16 @@ def version_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     sort = [F.col(k).asc_nulls_first() for k in keys] + _order(order_by) + [spread]
     pid = "__pid"
-    # Explicit partition count: AQE does not coalesce it, so partition ids are
-    # stable between the two reads of the shared exchange below.
+    # The partition ids must be the same in both branches below (offsets and
+    # local numbers).  Range bounds are sampled per exchange, so two exchanges
+    # could disagree; the partitioned rows are therefore materialised once with
+    # a reliable checkpoint in the shared checkpoint folder, which both
+    # branches read (and which survives executor loss without re-sampling).
+    # The explicit count also keeps AQE from coalescing the partitions.
+    scratch_dir(spark)  # ensures a checkpoint folder is configured
     ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-              .withColumn(pid, F.spark_partition_id()))
+              .withColumn(pid, F.spark_partition_id())
+              .checkpoint(eager=True))
     out_schema = T.StructType(ranged.schema.fields + [T.StructField(rank_col, T.LongType(), False)])
     local = ranged.mapInPandas(_local_numbers(keys, rank_col), out_schema)
 

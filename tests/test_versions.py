@@ -72,3 +72,15 @@ def test_version_rank_hot_key_with_tied_versions(spark):
     # ranks per (k, v) group form the same multiset
     assert sorted(got.groupBy("k", "v").agg(F.min("rn"), F.max("rn")).collect()) == \
         sorted(want.groupBy("k", "v").agg(F.min("rn"), F.max("rn")).collect())
+
+
+def test_version_rank_exact_when_range_bounds_are_sampled(spark):
+    # large enough that range bounds come from a sample (not every row), so the
+    # partitioning must be shared by both branches of the computation
+    df = spark.range(0, 300000, 1, 6).select((F.col("id") % 7).alias("k"),
+                                             (F.col("id") * 104729 % 300007).alias("v"))
+    got = version_rank(df, ["k"], ["v"], rank_col="rn", num_partitions=5)
+    w = Window.partitionBy("k").orderBy(F.col("v").desc())
+    want = df.withColumn("rn", F.row_number().over(w))
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
+    assert got.count() == want.count()
