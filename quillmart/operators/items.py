@@ -120,7 +120,13 @@ def current_items(src: Sources, p: Params) -> DataFrame:
     version removes the item, never falling back to an older live version.
     """
     lay = p.layouts.task
-    return (latest_version(staged_items(src, p), ["task_id"], version_order(lay))
+    # The newest version is picked independently in the wide branch and in the
+    # narrow (foreign key) branch of ``item_base``.  Ending the order with a
+    # hash of the columns the narrow branch uses makes both picks agree on
+    # those columns even when versions tie, so enrichment always matches the
+    # row it is attached to.
+    narrow = F.xxhash64("task_is_deleted", "task_assignee_id", "task_completed_by")
+    return (latest_version(staged_items(src, p), ["task_id"], version_order(lay) + [narrow])
             .filter(F.col("task_is_deleted") != F.lit(True)))
 
 

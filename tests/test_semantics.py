@@ -65,3 +65,18 @@ def test_attribute_pivot_null_newest_and_null_version(spark):
     out = attribute_pivot(df, "e", "attr", "v", ["ver"], [("a", "col_a"), ("b", "col_b"), ("c", "col_c")])
     got = {r.e: (r.col_a, r.col_b, r.col_c) for r in out.collect()}
     assert got == {1: (None, "dated", None), 2: (None, "only-undated", None)}
+
+
+def test_tied_versions_enrichment_stays_consistent(spark):
+    from quillmart.operators.items import item_base
+    from quillmart.plans.registry import fixtures, params, sources
+    from conftest import SF_SMALL
+    src = sources(fixtures(spark, SF_SMALL))
+    # every version of an item now ties on (upserted_at, version_id)
+    tied = src.task.withColumn("upserted_at", F.lit(dt.datetime(2000, 1, 1))).withColumn("version_id", F.lit(0))
+    src.task = tied
+    keyed, _ = item_base(src, params(), None)
+    users = src.user.select("gid", "name").groupBy("gid").agg(F.collect_set("name").alias("names"))
+    bad = (keyed.join(users, keyed["task_assignee_id"] == users["gid"], "left")
+           .filter(F.col("task_assignee_name").isNotNull() & ~F.array_contains("names", F.col("task_assignee_name"))))
+    assert bad.count() == 0
