@@ -37,3 +37,8 @@ def test_snapshot_table_versions(spark):
     t.commit(spark.range(5))
     assert t.versions() == [1, 2]
     assert t.current().count() == 5
+
+
+def test_run_query_named_args(spark):
+    df = run_query(spark, text="SELECT id FROM range(10) WHERE id >= :lo", args={"lo": 7})
+    assert sorted(r.id for r in df.collect()) == [7, 8, 9]

@@ -61,3 +61,11 @@ def test_diffs_truncate_toward_zero(spark):
                                "a timestamp_ntz, b timestamp_ntz")
     r = df.select(hours_between("a", "b").alias("h"), days_between("a", "b").alias("d")).first()
     assert (r.h, r.d) == (-47, -1)
+
+
+def test_local_time_in_dst_gap_moves_forward(spark):
+    # 2:30 on the spring-forward day does not exist in New York; it is read as 3:30 EDT
+    got = _one(spark, local_to_utc(F.col("t"), "America/New_York"),
+               [(dt.datetime(1999, 4, 4, 2, 30),), (dt.datetime(1999, 10, 31, 1, 30),)], "t timestamp_ntz")
+    assert got[0] == dt.datetime(1999, 4, 4, 7, 30)
+    assert got[1] in (dt.datetime(1999, 10, 31, 5, 30), dt.datetime(1999, 10, 31, 6, 30))
