@@ -205,10 +205,15 @@ def q_filtered_right_left_join(spark, sf_dir):
     deals = qualifying_deals(src.deal, p.stages, p.excluded_types).select(
         F.col("deal_id").alias("qualifying_deal_id")).distinct()
     companies = src.company.select(F.col("id").alias("__cid"))
-    # company LEFT JOIN links, written as links RIGHT JOIN company so the small
-    # company side can be the broadcast (build) side and a company with a
-    # third of all links never lands in one task.
-    rows = links.join(companies, F.col("company_id") == F.col("__cid"), "right")
+    # company LEFT JOIN links, as inner join + companies without links.  An
+    # outer join can only build its non-preserved side (the huge link table);
+    # the inner join may build the small company side and stream the links
+    # unshuffled, and AQE can split a hot company on either side of it.
+    linked = links.join(companies, F.col("company_id") == F.col("__cid"), "inner")
+    unlinked = (companies.join(links.select("company_id").distinct(),
+                               F.col("__cid") == F.col("company_id"), "left_anti")
+                .select("__cid", F.lit(None).cast(links.schema["deal_id"].dataType).alias("deal_id")))
+    rows = linked.select("__cid", "deal_id").unionByName(unlinked)
     return (rows.join(deals, F.col("deal_id") == F.col("qualifying_deal_id"), "left")
             .select(F.col("__cid").alias("company_id"), "deal_id", "qualifying_deal_id"))
 
