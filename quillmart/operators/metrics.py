@@ -41,13 +41,14 @@ def due_instants(items: DataFrame, source_zone: str = "UTC", due_zone: str = REP
     raw_due = F.coalesce(F.col("task_due_at").cast("timestamp_ntz"), end_of_day("task_due_date"))
     last_due = local_to_utc(raw_due, due_zone)
     parsed = parse_local_timestamp("cf_raw_original_due_date", due_zone, strict=strict_parse)
-    return (items
-            .withColumn("task_last_due_date", last_due)
-            .withColumn("task_original_due_date", F.coalesce(parsed, last_due))
-            .withColumn("task_created_at", local_to_utc("task_created_at", source_zone))
-            .withColumn("task_modified_at", local_to_utc("task_modified_at", source_zone))
-            .withColumn("task_due_at", local_to_utc("task_due_at", source_zone))
-            .withColumn("task_completed_at", local_to_utc("task_completed_at", source_zone)))
+    return items.withColumns({
+        "task_last_due_date": last_due,
+        "task_original_due_date": F.coalesce(parsed, last_due),
+        "task_created_at": local_to_utc("task_created_at", source_zone),
+        "task_modified_at": local_to_utc("task_modified_at", source_zone),
+        "task_due_at": local_to_utc("task_due_at", source_zone),
+        "task_completed_at": local_to_utc("task_completed_at", source_zone),
+    })
 
 
 def completion_ids() -> list[Column]:
