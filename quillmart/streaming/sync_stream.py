@@ -14,7 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from quillmart.operators.sync import SYNCED_AT, sync_frames
+from quillmart.operators.sync import SYNCED_AT
+from quillmart.plans.upsert import sync_table
 from quillmart.sources.sink import SnapshotTable
 
 
@@ -24,9 +25,7 @@ def upsert_batch(table: SnapshotTable, batch: DataFrame, epoch_id: int, key: str
     version = epoch_id + 1
     if version in table.versions():
         return False
-    stamp = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    new, _ = sync_frames(table.current(), batch, key, stamp, synced_col)
-    table.commit(new, version=version)
+    sync_table(table.spark, batch, key, table.base, as_of, synced_col, version=version)
     return True
 
 

@@ -39,3 +39,20 @@ def test_streaming_upsert_matches_batch(spark):
     assert got.filter(F.col("_synced_at").isNull()).count() == 0
     # replaying an epoch that is already committed is a no-op
     assert upsert_batch(table, incoming, 0, "ref_id", as_of=dt.datetime(2030, 1, 1)) is False
+
+
+def test_sync_table_twice_is_idempotent(spark):
+    from quillmart.plans.upsert import sync_table
+    fx = fixtures(spark, SF_SMALL)
+    base = scratch_dir(spark, "sync-table")
+    existing = fx["f_sync_existing"].withColumnRenamed("synced_at", "_synced_at")
+    first = sync_table(spark, existing, "ref_id", base, as_of=dt.datetime(2001, 9, 1))
+    assert first == {"insert": existing.count()}
+    second = sync_table(spark, fx["f_sync_incoming"], "ref_id", base, as_of=dt.datetime(2002, 1, 1))
+    assert second == {"insert": 150, "update": 319, "unchanged": 881, "keep": 150}
+    third = sync_table(spark, fx["f_sync_incoming"], "ref_id", base, as_of=dt.datetime(2002, 2, 1))
+    assert third.get("insert", 0) == 0 and third.get("update", 0) == 0
+    t = SnapshotTable(spark, base)
+    assert t.versions() == [1, 2, 3]
+    v2 = spark.read.parquet(f"{base}/v=000002")
+    assert t.current().exceptAll(v2.select(*t.current().columns)).count() == 0
