@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillmart.operators.attributes import FIXTURE_FIELDS, attribute_pivot
 from quillmart.operators.companies import engaged_companies
@@ -113,11 +114,29 @@ def staged_items(src: Sources, p: Params) -> DataFrame:
     return stage(src.task, p.layouts.task)
 
 
-def current_items(src: Sources, p: Params) -> DataFrame:
+ID_KEY = ["__id0", "__id1"]
+
+
+def _with_id_key(df: DataFrame) -> DataFrame:
+    """Add the item id as two never-NULL columns (coalesced id, id IS NULL).
+
+    Equality on both is null-safe equality on the id, and -- unlike a ``<=>``
+    join condition, whose key expressions Spark derives itself -- they are
+    plain columns, so a partitioning on them survives into later joins.
+    """
+    dtype = df.schema["task_id"].dataType
+    zero = F.lit("") if isinstance(dtype, T.StringType) else F.lit(0).cast(dtype)
+    return df.withColumns({"__id0": F.coalesce(F.col("task_id"), zero),
+                           "__id1": F.col("task_id").isNull()})
+
+
+def current_items(src: Sources, p: Params, keep_id_key: bool = False) -> DataFrame:
     """Newest version per item, dropped when that version is deleted (or NULL).
 
     The deleted test runs *after* picking the newest version: a deleted newest
     version removes the item, never falling back to an older live version.
+    The window partitions on the two-column id key (same groups as the id,
+    NULL included), so the result can be joined back on it without a shuffle.
     """
     lay = p.layouts.task
     # The newest version is picked independently in the wide branch and in the
@@ -126,8 +145,9 @@ def current_items(src: Sources, p: Params) -> DataFrame:
     # those columns even when versions tie, so enrichment always matches the
     # row it is attached to.
     narrow = F.xxhash64("task_is_deleted", "task_assignee_id", "task_completed_by")
-    return (latest_version(staged_items(src, p), ["task_id"], version_order(lay) + [narrow])
-            .filter(F.col("task_is_deleted") != F.lit(True)))
+    out = (latest_version(_with_id_key(staged_items(src, p)), ID_KEY, version_order(lay) + [narrow])
+           .filter(F.col("task_is_deleted") != F.lit(True)))
+    return out if keep_id_key else out.drop(*ID_KEY)
 
 
 def latest_users(src: Sources, p: Params) -> DataFrame:
@@ -185,47 +205,52 @@ def people_joins(rows: DataFrame, src: Sources, p: Params, workers: DataFrame |
     return out
 
 
-def item_base(src: Sources, p: Params, workers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(keyed, orphans): current items with fields and people.
+def _id_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left join on the two-column id key (null-safe id equality).  ``left``
+    carries the key columns, partitioned by the version window, so only the
+    narrow right side is shuffled."""
+    r = _with_id_key(right).drop("task_id").withColumnsRenamed({"__id0": "__r0", "__id1": "__r1"})
+    cond = (left["__id0"] == r["__r0"]) & (left["__id1"] == r["__r1"])
+    return left.join(r, cond, "left").drop("__r0", "__r1")
+
+
+def item_base(src: Sources, p: Params, workers: DataFrame | None = None) -> DataFrame:
+    """Current items with fields and people, partitioned by the item id.
 
-    ``keyed`` holds items with an id, hash-partitioned on ``task_id`` by the
-    version window -- the only shuffle of the wide rows.  Each dimension is
-    joined to a *narrow* (task_id, foreign keys) frame and the narrow result
-    joins back on ``task_id``, which keeps that partitioning.  ``orphans`` are
-    rows with a NULL id (at most one): they cannot join back by id and take the
-    direct joins instead.
+    The wide item rows shuffle once: the version window.  Each dimension is
+    joined to a *narrow* (task_id, foreign keys) frame, and the narrow result
+    joins back on the id with ``<=>``, which keeps that partitioning.  Joins
+    that SQL makes on plain equality (fields, projects) drop NULL ids on the
+    narrow side first, so ``<=>`` matches exactly what ``=`` would; the people
+    frame keeps them, so a NULL-id item still gets its names.
     """
-    items = current_items(src, p)
-    keyed = items.filter(F.col("task_id").isNotNull())
-    people = people_joins(keyed.select("task_id", "task_assignee_id", "task_completed_by"), src, p, workers)
+    items = current_items(src, p, keep_id_key=True)
+    people = people_joins(items.select("task_id", "task_assignee_id", "task_completed_by"), src, p, workers)
     people = people.drop("task_assignee_id", "task_completed_by")
-    keyed = keyed.join(item_fields(src, p), "task_id", "left").join(people, "task_id", "left")
-    orphans = people_joins(items.filter(F.col("task_id").isNull()), src, p, workers)
-    return keyed, orphans
+    fields = item_fields(src, p).filter(F.col("task_id").isNotNull())
+    return _id_join(_id_join(items, fields), people)
 
 
 def item_rows(src: Sources, p: Params, companies: DataFrame | None = None,
-              workers: DataFrame | None = None,
-              base: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+              workers: DataFrame | None = None, base: DataFrame | None = None) -> DataFrame:
     """Current items with fields, people, projects and (optionally) companies
     and worker-directory names, before the due-date columns are derived.
 
     Projects and companies are joined narrow too (fan-out happens on the
-    narrow side) and join back on ``task_id``.  ``base`` lets several outputs
-    share one materialised ``item_base``.
+    narrow side) and join back on the id.  ``base`` lets several outputs share
+    one materialised ``item_base``.
     """
-    keyed, orphans = base if base is not None else item_base(src, p, workers)
-    projects = item_projects(src, p)
+    base = base if base is not None else item_base(src, p, workers)
+    projects = item_projects(src, p).filter(F.col("task_id").isNotNull())
     if companies is not None:
         projects = attach_companies(projects, companies)
-    return keyed.join(projects, "task_id", "left").unionByName(orphans, allowMissingColumns=True)
+    return _id_join(base, projects)
 
 
 def item_core(src: Sources, p: Params, companies: DataFrame | None = None,
-              workers: DataFrame | None = None,
-              base: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+              workers: DataFrame | None = None, base: DataFrame | None = None) -> DataFrame:
     """``item_rows`` plus UTC instants, last/original due dates and completion ids."""
-    rows = item_rows(src, p, companies, workers, base)
+    rows = item_rows(src, p, companies, workers, base).drop(*ID_KEY)
     return due_instants(rows, p.source_zone, p.due_zone, p.strict_parse).select("*", *completion_ids())
 
 

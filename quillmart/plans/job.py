@@ -31,8 +31,7 @@ def build_marts(spark: SparkSession, src: Sources, p: Params, out_dir: str,
                 num_partitions: int | None = None) -> dict[str, str]:
     """Write both marts under ``out_dir`` (full refresh); returns name -> path."""
     scratch_dir(spark)  # makes sure a checkpoint folder is configured
-    keyed, orphans = item_base(src, p, src.workers)
-    base = (keyed.checkpoint(eager=True), orphans.checkpoint(eager=True))
+    base = item_base(src, p, src.workers).checkpoint(eager=True)
     out = {ITEM_MART: f"{out_dir.rstrip('/')}/{ITEM_MART}",
            ADHERENCE_MART: f"{out_dir.rstrip('/')}/{ADHERENCE_MART}"}
     write_mart(item_mart_frame(src, p, base), out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER,
