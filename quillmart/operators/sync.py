@@ -199,7 +199,11 @@ def cell_diff(target: DataFrame, incoming: DataFrame, key: str, synced_col: str
     cols = _compared(inc, key, synced_col)
     m = m.select(key, *[F.col(f"__old_{c}").cast("string").alias(f"__o_{c}") for c in cols],
                  *[F.col(c).cast("string").alias(f"__n_{c}") for c in cols],
-                 F.explode("__changed").alias("column_name"))
+                 # explode_outer + NULL filter: plain explode makes the optimizer
+                 # infer size(__changed) > 0 below it, which evaluates every
+                 # comparison a second time inside the join condition
+                 F.explode_outer("__changed").alias("column_name")
+                 ).filter(F.col("column_name").isNotNull())
     name = F.col("column_name")
 
     def pick(prefix: str) -> Column:
