@@ -42,3 +42,22 @@ def test_snapshot_table_versions(spark):
 def test_run_query_named_args(spark):
     df = run_query(spark, text="SELECT id FROM range(10) WHERE id >= :lo", args={"lo": 7})
     assert sorted(r.id for r in df.collect()) == [7, 8, 9]
+
+
+def test_write_mart_splits_a_hot_day(spark):
+    import glob
+    import os
+
+    from pyspark.sql import functions as F
+    # 40% of the rows share one day and identical clustering values
+    df = spark.range(20000).select(
+        F.col("id"),
+        F.when(F.col("id") % 5 < 2, F.lit("2000-01-01"))
+        .otherwise(F.date_format(F.date_add(F.lit("2000-01-02"), (F.col("id") % 50).cast("int")), "yyyy-MM-dd"))
+        .cast("timestamp_ntz").alias("created"),
+        F.lit("same").alias("c"))
+    path = scratch_dir(spark, "hot-day")
+    write_mart(df, path, "created", ["c"], num_partitions=4)
+    hot = glob.glob(os.path.join(path.replace("file:", ""), "__day=2000-01-01", "*.parquet"))
+    assert len(hot) > 1
+    assert read_mart(spark, path).count() == 20000
