@@ -12,8 +12,11 @@ narrow dedupes, so the wide DISTINCT is never needed:
   one item collapse exactly as the job's DISTINCT collapses them;
 * companies: distinct on the company columns the caller keeps.
 
-Narrow 1:1 joins run before the fan-out project/company joins, so wide rows
-multiply as late as possible.
+Wide item rows (HTML and text bodies) shuffle once, in the version window on
+the item id key.  Every dimension is joined on a narrow (id, foreign keys)
+frame and rejoined on that key, so the wide rows keep the window's
+partitioning; fan-out (projects, companies, worker directory) happens on the
+narrow side, and wide rows multiply only in the last join.
 """
 
 from __future__ import annotations
@@ -219,10 +222,11 @@ def item_base(src: Sources, p: Params, workers: DataFrame | None = None) -> Data
 
     The wide item rows shuffle once: the version window.  Each dimension is
     joined to a *narrow* (task_id, foreign keys) frame, and the narrow result
-    joins back on the id with ``<=>``, which keeps that partitioning.  Joins
-    that SQL makes on plain equality (fields, projects) drop NULL ids on the
-    narrow side first, so ``<=>`` matches exactly what ``=`` would; the people
-    frame keeps them, so a NULL-id item still gets its names.
+    joins back on the two-column id key (null-safe id equality), which keeps
+    that partitioning.  Joins that SQL makes on plain equality (fields,
+    projects) drop NULL ids on the narrow side first, so they match exactly
+    what ``=`` would; the people frame keeps them, so a NULL-id item still
+    gets its names.
     """
     items = current_items(src, p, keep_id_key=True)
     people = people_joins(items.select("task_id", "task_assignee_id", "task_completed_by"), src, p, workers)

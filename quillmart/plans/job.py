@@ -4,7 +4,7 @@ The wide part shared by both marts (current items with fields, people and
 worker-directory names; see ``item_base``) is materialised once with a
 reliable ``checkpoint`` in the shared checkpoint folder: it is computed once,
 lineage is cut, and a lost executor costs a re-read, not a recompute.  The
-checkpoint keeps the ``task_id`` partitioning, so each mart's narrow
+checkpoint keeps the item-id-key partitioning, so each mart's narrow
 project/company frame joins it without shuffling the wide rows again.
 """
 
