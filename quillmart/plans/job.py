@@ -1,43 +1,73 @@
 """The daily job: rebuild both marts and publish them.
 
-The wide part shared by both marts (current items with fields, people and
-worker-directory names; see ``item_base``) is materialised once with a
-reliable ``checkpoint`` in the shared checkpoint folder: it is computed once,
-lineage is cut, and a lost executor costs a re-read, not a recompute.  Spark
-does not carry the id-key partitioning through the checkpoint (adaptive plans
-report it as unknown), so each mart shuffles the wide base once for its
-project/company join -- the same one wide shuffle per mart as without the
-checkpoint, minus recomputing the window, pivot and people joins.
+Both marts are made from one pass over the wide item rows.  The two marts
+differ only in their narrow project/company frame (with or without the brand
+names), so those two narrow frames are tagged and unioned and joined to the
+wide rows *once*, on the id key that keeps the version window's partitioning:
+the wide rows shuffle once for both marts.  Items without any project link
+match neither frame and get a NULL tag; they belong to both marts.
+
+The joined rows are materialised with a reliable ``checkpoint`` in the shared
+checkpoint folder (computed once, lineage cut, a lost executor costs a
+re-read), and each mart is written from it with a filter on the tag.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillmart.operators.items import Params, Sources, item_base
+from quillmart.operators.items import (
+    COMPANY_COLUMNS,
+    ID_KEY,
+    Params,
+    Sources,
+    _id_join,
+    attach_companies,
+    company_dimension,
+    item_base,
+    item_projects,
+)
+from quillmart.operators.metrics import completion_ids, due_instants
 from quillmart.plans.marts import (
     ADHERENCE_MART_CLUSTER,
+    ADHERENCE_MART_COLUMNS,
+    BRAND_COLUMNS,
     ITEM_MART_CLUSTER,
+    ITEM_MART_COLUMNS,
     PARTITION_SOURCE,
-    adherence_mart_frame,
-    item_mart_frame,
+    _metrics,
 )
 from quillmart.session import scratch_dir
 from quillmart.sources.sink import write_mart
 
 ITEM_MART = "task"
 ADHERENCE_MART = "task_project_adherence"
+_TAG = "__mart"
+
+
+def both_mart_rows(src: Sources, p: Params) -> DataFrame:
+    """Rows of both marts (before metrics), tagged 0 = item, 1 = adherence,
+    NULL = both."""
+    projects = item_projects(src, p).filter(F.col("task_id").isNotNull())
+    narrow_cols = [c for c in COMPANY_COLUMNS if c not in BRAND_COLUMNS]
+    full = attach_companies(projects, company_dimension(src, p, COMPANY_COLUMNS)).withColumn(_TAG, F.lit(0))
+    narrow = attach_companies(projects, company_dimension(src, p, narrow_cols)).withColumn(_TAG, F.lit(1))
+    tagged = full.unionByName(narrow, allowMissingColumns=True)
+    rows = _id_join(item_base(src, p, src.workers), tagged).drop(*ID_KEY)
+    return due_instants(rows, p.source_zone, p.due_zone, p.strict_parse).select("*", *completion_ids())
 
 
 def build_marts(spark: SparkSession, src: Sources, p: Params, out_dir: str,
                 num_partitions: int | None = None) -> dict[str, str]:
     """Write both marts under ``out_dir`` (full refresh); returns name -> path."""
     scratch_dir(spark)  # makes sure a checkpoint folder is configured
-    base = item_base(src, p, src.workers).checkpoint(eager=True)
+    rows = both_mart_rows(src, p).checkpoint(eager=True)
+    tag = F.col(_TAG)
+    item = _metrics(rows.filter(tag.isNull() | (tag == 0)), p.as_of, ITEM_MART_COLUMNS)
+    adherence = _metrics(rows.filter(tag.isNull() | (tag == 1)), p.as_of, ADHERENCE_MART_COLUMNS)
     out = {ITEM_MART: f"{out_dir.rstrip('/')}/{ITEM_MART}",
            ADHERENCE_MART: f"{out_dir.rstrip('/')}/{ADHERENCE_MART}"}
-    write_mart(item_mart_frame(src, p, base), out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER,
-               num_partitions)
-    write_mart(adherence_mart_frame(src, p, base), out[ADHERENCE_MART], PARTITION_SOURCE,
-               ADHERENCE_MART_CLUSTER, num_partitions)
+    write_mart(item, out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER, num_partitions)
+    write_mart(adherence, out[ADHERENCE_MART], PARTITION_SOURCE, ADHERENCE_MART_CLUSTER, num_partitions)
     return out

@@ -21,6 +21,9 @@ def test_build_marts_writes_both(spark):
     want = QUERIES["item_mart"](spark, SF_SMALL)
     assert item.count() == want.count()
     assert item.exceptAll(want.select(*item.columns)).count() == 0
+    want_adh = QUERIES["adherence_mart"](spark, SF_SMALL)
+    assert adh.count() == want_adh.count()
+    assert adh.exceptAll(want_adh.select(*adh.columns)).count() == 0
 
 
 def test_streaming_upsert_matches_batch(spark):
