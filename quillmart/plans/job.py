@@ -9,7 +9,9 @@ match neither frame and get a NULL tag; they belong to both marts.
 
 The joined rows are materialised with a reliable ``checkpoint`` in the shared
 checkpoint folder (computed once, lineage cut, a lost executor costs a
-re-read), and each mart is written from it with a filter on the tag.
+re-read), and each mart is published from it with a filter on the tag as a
+new version (``publish_mart``): readers keep the previous version until the
+new one is complete.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from quillmart.plans.marts import (
     _metrics,
 )
 from quillmart.session import scratch_dir
-from quillmart.sources.sink import write_mart
+from quillmart.sources.sink import publish_mart
 
 ITEM_MART = "task"
 ADHERENCE_MART = "task_project_adherence"
@@ -60,7 +62,8 @@ def both_mart_rows(src: Sources, p: Params) -> DataFrame:
 
 def build_marts(spark: SparkSession, src: Sources, p: Params, out_dir: str,
                 num_partitions: int | None = None) -> dict[str, str]:
-    """Write both marts under ``out_dir`` (full refresh); returns name -> path."""
+    """Publish both marts under ``out_dir`` (full refresh, new versions);
+    returns name -> base path (read with ``read_mart``)."""
     scratch_dir(spark)  # makes sure a checkpoint folder is configured
     rows = both_mart_rows(src, p).checkpoint(eager=True)
     tag = F.col(_TAG)
@@ -68,6 +71,6 @@ def build_marts(spark: SparkSession, src: Sources, p: Params, out_dir: str,
     adherence = _metrics(rows.filter(tag.isNull() | (tag == 1)), p.as_of, ADHERENCE_MART_COLUMNS)
     out = {ITEM_MART: f"{out_dir.rstrip('/')}/{ITEM_MART}",
            ADHERENCE_MART: f"{out_dir.rstrip('/')}/{ADHERENCE_MART}"}
-    write_mart(item, out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER, num_partitions)
-    write_mart(adherence, out[ADHERENCE_MART], PARTITION_SOURCE, ADHERENCE_MART_CLUSTER, num_partitions)
+    publish_mart(item, out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER, num_partitions)
+    publish_mart(adherence, out[ADHERENCE_MART], PARTITION_SOURCE, ADHERENCE_MART_CLUSTER, num_partitions)
     return out

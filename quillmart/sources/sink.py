@@ -1,6 +1,8 @@
 """Partitioned mart writes and versioned snapshot tables.
 
-``write_mart`` is the full-refresh, day-partitioned, clustered table of the job.
+``write_mart`` is the full-refresh, day-partitioned, clustered table of the job;
+``publish_mart`` writes it as a new version so a failed run never leaves a
+half-written or missing mart.
 Rows are range-partitioned on (day, clustering columns, row hash) so one heavy
 day -- even one heavy (day, cluster values) group -- is split across many
 tasks instead of landing in one, and each task writes sorted
@@ -22,7 +24,8 @@ DAY_COL = "__day"
 
 
 def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequence[str],
-               num_partitions: int | None = None, max_records_per_file: int = 5_000_000) -> None:
+               num_partitions: int | None = None, max_records_per_file: int = 5_000_000,
+               mode: str = "overwrite") -> None:
     """Overwrite ``path`` with ``df`` partitioned by ``DATE(partition_source)``.
 
     NULL days go to the default partition.  The derived day column is a
@@ -37,14 +40,33 @@ def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequenc
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     (keyed.repartitionByRange(n, *order, spread)
      .sortWithinPartitions(*order)
-     .write.mode("overwrite")
+     .write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(DAY_COL)
      .parquet(path))
 
 
+def publish_mart(df: DataFrame, base: str, partition_source: str, cluster: Sequence[str],
+                 num_partitions: int | None = None) -> str:
+    """Full refresh as a new immutable version ``<base>/v=<n>``; returns its path.
+
+    Readers (``read_mart``) switch to it only once it is complete, so a run
+    that fails mid-write leaves the previous version in place -- the atomic
+    replace the job's CREATE OR REPLACE TABLE gives.
+    """
+    table = SnapshotTable(df.sparkSession, base)
+    v = table.versions()
+    path = f"{table.base}/v={(v[-1] + 1) if v else 1:06d}"
+    write_mart(df, path, partition_source, cluster, num_partitions, mode="errorifexists")
+    return path
+
+
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(DAY_COL)
+    """A mart written by ``write_mart`` (a folder) or ``publish_mart`` (its base:
+    the newest complete version is read)."""
+    v = SnapshotTable(spark, path).versions()
+    target = f"{path.rstrip('/')}/v={v[-1]:06d}" if v else path
+    return spark.read.parquet(target).drop(DAY_COL)
 
 
 class SnapshotTable:

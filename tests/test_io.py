@@ -61,3 +61,15 @@ def test_write_mart_splits_a_hot_day(spark):
     hot = glob.glob(os.path.join(path.replace("file:", ""), "__day=2000-01-01", "*.parquet"))
     assert len(hot) > 1
     assert read_mart(spark, path).count() == 20000
+
+
+def test_publish_mart_versions(spark):
+    from pyspark.sql import functions as F
+
+    from quillmart.sources.sink import publish_mart
+    base = scratch_dir(spark, "pub")
+    df = spark.range(10).select("id", F.lit("2000-01-01").cast("timestamp_ntz").alias("t"))
+    p1 = publish_mart(df, base, "t", ["id"], num_partitions=2)
+    p2 = publish_mart(df.filter("id < 4"), base, "t", ["id"], num_partitions=2)
+    assert p1.endswith("v=000001") and p2.endswith("v=000002")
+    assert read_mart(spark, base).count() == 4
