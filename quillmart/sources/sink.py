@@ -9,7 +9,8 @@ tasks instead of landing in one, and each task writes sorted
 files whose row-group min/max statistics serve the clustering columns.
 
 ``SnapshotTable`` keeps each upsert result as a new folder ``v=<n>`` and reads
-the newest *complete* one (it has ``_SUCCESS``), so a failed or half-written
+the newest *complete* one (it has our ``_COMMITTED`` marker, written after the
+data, independent of the committer's optional ``_SUCCESS`` file), so a failed or half-written
 run never replaces the current data and a path is never overwritten while read.
 """
 
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY_COL = "__day"
+# Written after a version's data is complete; readers ignore folders without it.
+COMMIT_MARKER = "_COMMITTED"
 
 
 def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequence[str],
@@ -58,6 +61,7 @@ def publish_mart(df: DataFrame, base: str, partition_source: str, cluster: Seque
     v = table.versions()
     path = f"{table.base}/v={(v[-1] + 1) if v else 1:06d}"
     write_mart(df, path, partition_source, cluster, num_partitions, mode="errorifexists")
+    table.mark_committed(path)
     return path
 
 
@@ -91,10 +95,16 @@ class SnapshotTable:
         for st in fs.listStatus(root):
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER)):
                     out.append(int(name[2:]))
         return sorted(out)
 
+    def mark_committed(self, path: str) -> None:
+        """Create the commit marker after a successful write (does not rely on
+        the committer's optional _SUCCESS file)."""
+        fs, jvm = self._fs()
+        fs.create(jvm.org.apache.hadoop.fs.Path(path, COMMIT_MARKER), True).close()
+
     def current(self) -> DataFrame | None:
         v = self.versions()
         return self.spark.read.parquet(f"{self.base}/v={v[-1]:06d}") if v else None
@@ -108,5 +118,7 @@ class SnapshotTable:
         nxt = version if version is not None else ((v[-1] + 1) if v else 1)
         if v and nxt <= v[-1]:
             raise ValueError(f"version {nxt} is not after current version {v[-1]}")
-        df.write.mode("errorifexists").parquet(f"{self.base}/v={nxt:06d}")
+        path = f"{self.base}/v={nxt:06d}"
+        df.write.mode("errorifexists").parquet(path)
+        self.mark_committed(path)
         return nxt
