@@ -113,3 +113,13 @@ def test_values_equal_number_vs_text_model(spark, num):
     for r in df.select("a", "b", values_equal(F.col("a"), T.DoubleType(), F.col("b"), T.StringType())
                        .alias("eq")).collect():
         assert r.eq == _model_equal(r.a, r.b), (r.a, r.b)
+
+
+def test_every_registered_key_is_in_the_readme_inventory():
+    import os
+
+    import __spark_entry__ as E
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "README.md")).read()
+    inventory = readme.split("## Operator inventory")[1].split("###")[0]
+    missing = [k for k in E.queries() if f"`{k}`" not in inventory]
+    assert not missing, missing
