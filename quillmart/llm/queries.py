@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from quillmart.llm.bpe import op10_bpe_encode_decode
+from quillmart.llm.packing import op7_best_fit_packing
 
 QUERIES = {
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
 
