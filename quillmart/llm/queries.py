@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from quillmart.llm.bpe import op10_bpe_encode_decode
 from quillmart.llm.packing import op7_best_fit_packing
+from quillmart.llm.simhash import op6_simhash_neardup
 
 QUERIES = {
+    "op6_simhash_neardup": op6_simhash_neardup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
