@@ -7,12 +7,14 @@ from quillmart.llm.packing import op7_best_fit_packing
 from quillmart.llm.secrets import op5_secret_scan
 from quillmart.llm.simhash import op6_simhash_neardup
 from quillmart.llm.substrings import op8_substring_dedup
+from quillmart.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
 
