@@ -34,6 +34,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read again: a checkpoint of smaller files."""
+    path = scratch_dir(df.sparkSession, "stored")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have in any case."""
     taken = {c.lower() for c in df.columns}

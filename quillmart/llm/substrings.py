@@ -6,7 +6,9 @@ words choose the same k-mer at the same place, so a window can recur only where
 anchor does.  Every anchor place is one row: the k-mer, a hash of the stretch of
 words that its windows cover (the path through it), and its coordinates.
 
-* Joins on the k-mer drop edges that occur once.
+* Edges that occur once are dropped.  Places of one edge with one stretch are combined
+  where they are found, before they are sent, so a passage of many documents is a few
+  rows to its k-mer.
 * A path whose whole stretch recurs does not branch: it is compacted, and all its
   windows are settled at once.
 * Where different stretches meet in one k-mer the graph branches.  One place of each
@@ -14,8 +16,8 @@ words that its windows cover (the path through it), and its coordinates.
   (128 bits) and counted, and the windows found twice are settled.
 
 Settled windows go back to their documents as bit masks beside the anchor's place.
-Documents are written once, bucketed by their key, so the joins that bring places
-back to the texts move only the places.
+Documents are written once, bucketed by a 64-bit key of id and text, so the joins that
+bring places back to the texts move only the places.
 
 Defined results: a null or empty text has no words and nothing is removed; repeated
 rows repeat all their windows; a text below ``window`` words keeps all of them; an
@@ -32,11 +34,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmart.llm.bpe import spread
-from quillmart.llm.common import checkpoint, slices, table
+from quillmart.llm.common import slices, stored, table
 from quillmart.session import scratch_dir
 
 WINDOW = 35
@@ -96,99 +98,110 @@ def _slice_hashes(texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarra
     return words, word_hashes(flat, 0), np.cumsum([0, *map(len, words)])
 
 
+MEMBERS = "array<struct<key:long,at:long>>"
+
+
 def places(rows: DataFrame, window: int, k: int) -> DataFrame:
-    """(id, th, n, gram, path, at, runs_from, runs) of every anchor place of rows (id, th, text)."""
+    """(gram, path, n, key, at, more): anchor places of rows (key, text), those of one slice and path in one row.
+
+    A place ``at`` is its first window * 64 + the number of its windows; ``more`` holds all but the first.
+    """
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 2):
-            words, hashes, starts = _slice_hashes(part.column(2).to_pylist())
-            out = [[], [], [], [], [], []]
+        for part in slices(batches, 1):
+            keys = part.column(0).to_numpy()
+            words, hashes, starts = _slice_hashes(part.column(1).to_pylist())
+            out = [[], [], [], []]
             for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
                 if b - a < window:
                     continue
                 roll = Rolling(hashes[a:b], _ODD[0])
                 heads = np.arange(b - a - k + 1)
                 at, first, last = anchors(roll.of(heads, heads + k), window - k + 1)
-                cols = (np.full(len(at), i), roll.of(at, at + k).view(np.int64), roll.of(first, last + window).view(np.int64),
-                        at, at - first, last - first + 1)
-                for have, more in zip(out, cols):
-                    have.append(more)
-            if out[0]:
-                i, gram, path, at, back, runs = map(np.concatenate, out)
+                runs = last - first + 1
                 # The stretch's shape goes into its name: equal paths hold equal windows at equal places.
-                path = path ^ (back * 64 + runs).astype(np.int64)
-                take = pa.array(i)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(gram), pa.array(path),
-                     pa.array((at - back).astype(np.int32)), pa.array(runs.astype(np.int8))], ["id", "th", "gram", "path", "first", "runs"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, th long, gram long, path long, first int, runs byte")
+                path = roll.of(first, last + window).view(np.int64) ^ ((at - first) * 64 + runs)
+                for have, more in zip(out, (roll.of(at, at + k).view(np.int64), path, np.full(len(at), keys[i]), first * 64 + runs)):
+                    have.append(more)
+            if not out[0]:
+                continue
+            gram, path, key, at = map(np.concatenate, out)
+            order = np.lexsort((path, gram))
+            gram, path, key, at = gram[order], path[order], key[order], at[order]
+            head = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (path[1:] != path[:-1]))))
+            n = np.diff(np.append(head, len(gram)))
+            rest = np.ones(len(gram), bool)
+            rest[head] = False
+            members = pa.StructArray.from_arrays([pa.array(key[rest]), pa.array(at[rest])], fields=list(kind.value_type))
+            ends = np.concatenate(([0], np.cumsum(n - 1))).astype(np.int32)
+            more = pa.ListArray.from_arrays(pa.array(ends, mask=np.append(n == 1, False)), members)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (gram[head], path[head], n, key[head], at[head])), more.cast(kind)],
+                                             ["gram", "path", "n", "key", "at", "more"])
+
+    return rows.mapInArrow(run, f"gram long, path long, n long, key long, at long, more {MEMBERS}")
 
 
 def verified(reps: DataFrame, window: int) -> DataFrame:
-    """(gram, path, w, w2, bit): the windows of places (text, places array<gram, path, first, runs>)."""
+    """(pid, w, w2, bit): the windows of places (text, places array<pid, at>)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0):
             lists = part.column(1)
-            counts = np.diff(lists.offsets.to_numpy())
-            own = lists.flatten()
-            gram, path, first, runs = (own.field(f).to_numpy(zero_copy_only=False) for f in ("gram", "path", "first", "runs"))
+            own, counts = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            pid, at = (own.field(f).to_numpy(zero_copy_only=False) for f in ("pid", "at"))
             words, hashes, starts = _slice_hashes(part.column(0).to_pylist())
             other = word_hashes([w for ws in words for w in ws], 1)
-            base = np.repeat(starts[:-1], counts) + first
-            runs = runs.astype(np.int64)
-            place = np.repeat(np.arange(len(runs)), runs)
-            at = spread(base, runs)
+            base, runs = np.repeat(starts[:-1], counts) + at // 64, at % 64
+            place, at = np.repeat(np.arange(len(runs)), runs), spread(base, runs)
             hashed = [Rolling(h, odd).of(at, at + window).view(np.int64) for h, odd in zip((hashes, other), _ODD)]
-            yield pa.RecordBatch.from_arrays([pa.array(gram[place]), pa.array(path[place]), *map(pa.array, hashed),
-                                              pa.array((at - base[place]).astype(np.int8))], ["gram", "path", "w", "w2", "bit"])
+            yield pa.RecordBatch.from_arrays([pa.array(pid[place]), *map(pa.array, hashed), pa.array((at - base[place]).astype(np.int8))],
+                                             ["pid", "w", "w2", "bit"])
 
-    return reps.mapInArrow(run, "gram long, path long, w long, w2 long, bit byte")
+    return reps.mapInArrow(run, "pid long, w long, w2 long, bit byte")
 
 
-def _bucketed(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` written once to the shared folder, bucketed by ``keys``, so that joins on them do not move it."""
+def _bucketed(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` written once to the shared folder, bucketed by ``key``, so that joins on it do not move them."""
     spark = rows.sparkSession
     name = f"bucketed_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (rows.write.bucketBy(buckets, *keys).option("path", scratch_dir(spark, "bucketed")).format("parquet").saveAsTable(name))
-    kept = spark.table(name)
-    kept.schema  # analysed: the frame keeps its files and bucketing
+    (rows.write.bucketBy(buckets, key).option("path", scratch_dir(spark, "bucketed")).option("compression", "zstd")
+     .format("parquet").saveAsTable(name))
+    kept = spark.table(name).select("*")  # analysed here: the frame keeps its files and bucketing
     spark.sql(f"DROP TABLE {name}")  # an external table: only the name goes
     return kept
 
 
 def settled(found: DataFrame, docs: DataFrame, window: int) -> DataFrame:
-    """(id, th, first, mask) of the places with repeated windows; bit i of mask is the window at first + i."""
-    paths = checkpoint(found.groupBy("gram", "path").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "th", "first", "runs")).alias("rep")))
-    grams = paths.groupBy("gram").agg(F.count("*").alias("branches"), F.sum("n").alias("m")).where("m > 1")
-    paths = paths.join(grams, "gram")
-    branching = paths.where("branches > 1")
-    reps = branching.select("rep.id", "rep.th", F.struct("gram", "path", "rep.first", "rep.runs").alias("place"))
-    reps = reps.groupBy("id", "th").agg(F.collect_list("place").alias("places"))  # bounded by one document's anchors
-    one = docs.dropDuplicates(["id", "th"])
-    windows = verified(one.join(reps, [one.id.eqNullSafe(reps.id), one.th == reps.th]).select("text", "places"), window)
-    windows = checkpoint(windows)
+    """(key, first, mask) of the places with repeated windows; bit i of mask is the window at first + i."""
+    gram, path = Window.partitionBy("gram"), Window.partitionBy("gram", "path")
+    edges = found.withColumn("branches", F.min("path").over(gram) != F.max("path").over(gram))
+    edges = edges.withColumn("whole", F.sum("n").over(path) > 1).withColumn(
+        "rep", F.row_number().over(path.orderBy("key", "at")) == 1)
+    edges = stored(edges.where("whole or branches").select(
+        F.xxhash64("gram", "path").alias("pid"), "whole", (F.col("rep") & F.col("branches")).alias("rep"), "key", "at", "more"))
+    reps = edges.where("rep").groupBy("key").agg(F.collect_list(F.struct("pid", "at")).alias("places"))  # of one document
+    windows = stored(verified(docs.dropDuplicates(["key"]).join(reps, "key").select("text", "places"), window))
     twice = windows.groupBy("w", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w", "w2")
-    part = windows.join(twice, ["w", "w2"]).groupBy("gram", "path").agg(
-        F.sum(F.expr("shiftleft(1L, cast(bit as int))")).alias("mask"))
-    whole = paths.where("n > 1").select("gram", "path", F.expr("shiftleft(1L, cast(rep.runs as int)) - 1").alias("mask"))
-    masks = whole.union(part.join(whole, ["gram", "path"], "left_anti").select("gram", "path", "mask"))
-    return found.join(masks, ["gram", "path"]).select("id", "th", "first", "mask")
+    masks = windows.join(twice, ["w", "w2"]).groupBy("pid").agg(F.sum(F.expr("shiftleft(1L, cast(bit as int))")).alias("mask"))
+    part = edges.where("not whole").select("pid", "key", "at").join(masks, "pid").select("key", "at", "mask")
+    every = F.expr("shiftleft(1L, cast(at % 64 as int)) - 1").alias("mask")
+    whole = edges.where("whole")
+    one, more = whole.select("key", "at"), whole.select(F.explode("more").alias("m")).select("m.key", "m.at")
+    return one.union(more).select("key", "at", every).union(part).select("key", F.expr("at div 64").alias("first"), "mask")
 
 
 def repeated(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, k: int = KMER, texts: bool = False) -> DataFrame:
-    """(id, th, n_words, n_removed, kept_sha256), with the kept text if asked for, of every row.
+    """(id, key, n_words, n_removed, kept_sha256), with the kept text if asked for, of every row.
 
     A word is removed if a window over it has the words of a window that starts anywhere else.
     """
     if not (k <= window and window - k + 1 <= 62):
         raise ValueError("window - k must lie between 0 and 61")
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs = _bucketed(docs.select("id", F.xxhash64("text").alias("th"), "text"), ["id", "th"])
-    found = checkpoint(places(docs, window, k))
-    marks = settled(found, docs, window).groupBy("id", "th").agg(F.collect_set(F.struct("first", "mask")).alias("marks"))
+    docs = _bucketed(docs.select("id", F.xxhash64("id", "text").alias("key"), "text"), "key")
+    found = places(docs.select("key", "text"), window, k)
+    marks = settled(found, docs.select("key", "text"), window).groupBy("key").agg(F.collect_set(F.struct("first", "mask")).alias("marks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2):
@@ -210,11 +223,11 @@ def repeated(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, k:
                 rows.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None))
             cols = [pa.array(c) for c in zip(*rows)][:3 + texts]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *cols],
-                                             ["id", "th", "n_words", "n_removed", "kept_sha256", "kept"][:5 + texts])
+                                             ["id", "key", "n_words", "n_removed", "kept_sha256", "kept"][:5 + texts])
 
-    both = docs.join(marks, [docs.id.eqNullSafe(marks.id), docs.th == marks.th], "left").select(docs.id, docs.th, "text", "marks")
+    both = docs.join(marks, "key", "left").select("id", "key", "text", "marks")
     kind = docs.schema["id"].dataType.simpleString()
-    return both.mapInArrow(run, f"id {kind}, th long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+    return both.mapInArrow(run, f"id {kind}, key long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
