@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quillmart.llm.bpe import op10_bpe_encode_decode
+from quillmart.llm.gridjoin import op4_grid_order_neardup
 from quillmart.llm.licenses import op3_license_scan
 from quillmart.llm.packing import op7_best_fit_packing
 from quillmart.llm.secrets import op5_secret_scan
@@ -11,6 +12,7 @@ from quillmart.llm.substrings import op8_substring_dedup
 from quillmart.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op4_grid_order_neardup": op4_grid_order_neardup,
     "op3_license_scan": op3_license_scan,
     "op5_secret_scan": op5_secret_scan,
     "op6_simhash_neardup": op6_simhash_neardup,
