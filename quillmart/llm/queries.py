@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from quillmart.llm.annsearch import op1_multiprobe_ann
 from quillmart.llm.bpe import op10_bpe_encode_decode
+from quillmart.llm.chat import op2_chat_repair
 from quillmart.llm.gridjoin import op4_grid_order_neardup
 from quillmart.llm.licenses import op3_license_scan
 from quillmart.llm.packing import op7_best_fit_packing
@@ -12,6 +14,7 @@ from quillmart.llm.substrings import op8_substring_dedup
 from quillmart.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_multiprobe_ann": op1_multiprobe_ann,
     "op4_grid_order_neardup": op4_grid_order_neardup,
     "op3_license_scan": op3_license_scan,
     "op5_secret_scan": op5_secret_scan,
@@ -19,6 +22,7 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
+    "op2_chat_repair": op2_chat_repair,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
 
