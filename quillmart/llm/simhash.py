@@ -24,11 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.llm.bpe import spread
-from quillmart.llm.common import checkpoint, slices, table
+from quillmart.llm.common import checkpoint, fresh, slices, table
 from quillmart.llm.components import components
 
 SHINGLE = 3
@@ -59,14 +59,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): the SimHash of every row as a signed long."""
+    """(id, key, fp): the SimHash of every row as a signed long; key is a hash of id and text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
             fp = np.array([fingerprint(t or "", shingle) for t in part.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(fp.view(np.int64))], ["id", "key", "fp"])
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, key long, fp long")
+
+
+def row_key(row_id: Column, text: Column) -> Column:
+    return F.xxhash64(row_id, F.coalesce(text, F.lit("")))
 
 
 class Forest:
@@ -192,14 +196,25 @@ def links(fps: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
 
 
 def groups(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(id, fp, component): the fingerprint of every row and the least id that links lead to."""
+    """(id, key, fp, root, component): the group of every row (root) and its least id (component)."""
     rows = checkpoint(fingerprints(df, id_col, text_col, shingle))
     classes = rows.groupBy("fp").agg(F.min("id").alias("least"))
     tied = components(links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
     named = classes.join(tied, "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.drop("component").join(least, "root").select("fp", "component")
-    return rows.join(named, "fp").select("id", "fp", "component")
+    named = named.drop("component").join(least, "root").select("fp", "root", "component")
+    return rows.join(named, "fp").select("id", "key", "fp", "root", "component")
+
+
+def one_of_each(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``df`` with one row of every group: that of the least id (null last), then of the least key."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    kept = groups(df, id_col, text_col, shingle, radius).groupBy("root").agg(first.alias("kept"))
+    kept = kept.select(F.col("kept.key").alias("k"), F.col("kept.id").alias("i"))
+    key = fresh(df, "key")
+    rows = df.withColumn(key, row_key(F.col(id_col), F.col(text_col)))
+    rows = rows.join(kept, (F.col(key) == F.col("k")) & F.col(id_col).eqNullSafe(F.col("i")), "left_semi")
+    return rows.dropDuplicates([key, id_col, text_col]).drop(key)
 
 
 def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

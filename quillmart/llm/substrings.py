@@ -21,8 +21,8 @@ bring places back to the texts move only the places.
 
 Defined results: a null or empty text has no words and nothing is removed; repeated
 rows repeat all their windows; a text below ``window`` words keeps all of them; an
-empty table gives no rows; other columns are not read by ``repeated`` (the pipeline
-keeps them).  A word is a run of characters other than the ASCII white space.
+empty table gives no rows; other columns are not read by ``repeated`` and are kept by
+``strip``.  A word is a run of characters other than the ASCII white space.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmart.llm.bpe import spread
-from quillmart.llm.common import slices, stored, table
+from quillmart.llm.common import fresh, slices, stored, table
 from quillmart.session import scratch_dir
 
 WINDOW = 35
@@ -191,43 +191,69 @@ def settled(found: DataFrame, docs: DataFrame, window: int) -> DataFrame:
     return one.union(more).select("key", "at", every).union(part).select("key", F.expr("at div 64").alias("first"), "mask")
 
 
-def repeated(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, k: int = KMER, texts: bool = False) -> DataFrame:
-    """(id, key, n_words, n_removed, kept_sha256), with the kept text if asked for, of every row.
+def marked(df: DataFrame, id_col: str, text_col: str, window: int, k: int) -> tuple[DataFrame, str]:
+    """(``df`` with the marks of repeated windows, name of that column)."""
+    if not (k <= window and window - k + 1 <= 62):
+        raise ValueError("window - k must lie between 0 and 61")
+    key, name = fresh(df, "key"), fresh(df, "marks")
+    docs = _bucketed(df.withColumn(key, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))), key)
+    texts = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"))
+    marks = settled(places(texts, window, k), texts, window).groupBy("key").agg(
+        F.collect_set(F.struct("first", "mask")).alias(name))  # the places of one document
+    return docs.join(marks.withColumnRenamed("key", key), key, "left").drop(key), name
+
+
+def kept_words(text: str | None, marks: list | None, window: int) -> tuple[list[bytes], int]:
+    """(words outside of the marked windows, number of all words)."""
+    words = (text or "").encode().split()
+    n = len(words)
+    if marks:
+        cover = np.zeros(n + 1, np.int64)
+        first, mask = (np.array([m[f] for m in marks]) for f in ("first", "mask"))
+        mark, bit = np.nonzero((mask[:, None] >> np.arange(62)) & 1)
+        np.add.at(cover, first[mark] + bit, 1)
+        np.add.at(cover, first[mark] + bit + window, -1)
+        words = [words[i] for i in np.flatnonzero(np.cumsum(cover[:-1]) == 0)]
+    return words, n
+
+
+def strip(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, k: int = KMER) -> DataFrame:
+    """``df`` without repeated windows: the words left, joined by blanks, where any go; rows that lose all words go."""
+    both, name = marked(df, id_col, text_col, window, k)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, at):
+            texts, stays = part.column(at).to_pylist(), []
+            for i, marks in enumerate(part.column(len(names)).to_pylist()):
+                words, n = kept_words(texts[i], marks, window)
+                stays.append(not marks or bool(words))
+                if marks and len(words) < n:
+                    texts[i] = b" ".join(words).decode()
+            cols = [pa.array(texts, c.type) if i == at else c for i, c in enumerate(part.columns[:len(names)])]
+            yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(stays))
+
+    names = df.columns
+    return both.select(*[F.col(f"`{c}`") for c in names], name).mapInArrow(run, df.schema)
+
+
+def repeated(df: DataFrame, id_col: str, text_col: str, window: int = WINDOW, k: int = KMER) -> DataFrame:
+    """(id, n_words, n_removed, kept_sha256) of every row.
 
     A word is removed if a window over it has the words of a window that starts anywhere else.
     """
-    if not (k <= window and window - k + 1 <= 62):
-        raise ValueError("window - k must lie between 0 and 61")
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs = _bucketed(docs.select("id", F.xxhash64("id", "text").alias("key"), "text"), "key")
-    found = places(docs.select("key", "text"), window, k)
-    marks = settled(found, docs.select("key", "text"), window).groupBy("key").agg(F.collect_set(F.struct("first", "mask")).alias("marks"))
+    both, name = marked(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", window, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 2):
+        for part in slices(batches, 1):
             rows = []
-            for text, marks in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                words = (text or "").encode().split()
-                n = len(words)
-                if marks:
-                    cover = np.zeros(n + 1, np.int64)
-                    first = np.array([m["first"] for m in marks])
-                    mask = np.array([m["mask"] for m in marks])
-                    mark, bit = np.nonzero((mask[:, None] >> np.arange(window - k + 1)) & 1)
-                    at = first[mark] + bit
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + window, -1)
-                    keep = np.cumsum(cover[:-1]) == 0
-                    words = [words[i] for i in np.flatnonzero(keep)]
-                kept = b" ".join(words)
-                rows.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None))
-            cols = [pa.array(c) for c in zip(*rows)][:3 + texts]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *cols],
-                                             ["id", "key", "n_words", "n_removed", "kept_sha256", "kept"][:5 + texts])
-
-    both = docs.join(marks, "key", "left").select("id", "key", "text", "marks")
-    kind = docs.schema["id"].dataType.simpleString()
-    return both.mapInArrow(run, f"id {kind}, key long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+            for text, marks in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                words, n = kept_words(text, marks, window)
+                rows.append((n, n - len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
+            yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, zip(*rows))], ["id", "n_words", "n_removed", "kept_sha256"])
+
+    kind = both.schema["id"].dataType.simpleString()
+    return both.select("id", "text", name).mapInArrow(run, f"id {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

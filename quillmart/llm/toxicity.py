@@ -326,6 +326,22 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(run, f"id {kind}, th long, score double, spans string")
 
 
+def clean(df: DataFrame, model: Model, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows of ``df``, as they are, whose texts score below ``limit``."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, at):
+            texts = [lower(t) if t else "" for t in part.column(at).to_pylist()]
+            words, which, _, _, first = words_of(texts)
+            emit, _ = emissions(model, words, which, first)
+            p = marginals(model, emit, first)[0] if len(emit) else np.zeros(0)
+            scores = np.zeros(len(texts)) if model.blank else document_scores(model, p, first)
+            yield part.filter(pa.array(scores < limit))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score, decision and offending spans of every document."""
     docs = table(spark, sf_dir, "documents")
