@@ -13,25 +13,34 @@ Steps (all lazy until the caller writes):
    updates overwrite **only changed columns** and stamp the sync time;
    unchanged rows keep their old stamp.
 
-Plan shape: the target is semi-joined (lookup of stored rows) and anti-joined
-(kept rows) against the batch's *keys*.  When the batch is small those joins
-broadcast its keys and the target streams through without a shuffle; when it
-is large they are ordinary sort-merge joins.  Nothing is collected.
+Plan shape: one full outer join of target and batch on the key, two exchanges.
+The check that keys are unique is a window count over the same partitioning, so
+it costs no exchange of its own.  Nothing is collected.
 
 Equality (``values_equal``), in order: both NULL -> equal, one NULL -> not;
-'true'/'false' text (any case) is a boolean; text starting with '{' or '[' that
-parses as JSON compares by content with sorted keys; two booleans compare
-directly; values that read as numbers (numbers, booleans as 1/0, numeric text)
-compare numerically; anything else compares as raw text of the same kind.
-Divergence kept on purpose: NaN equals NaN (null-safe semantics), so a float
-NULL does not look changed on every run.
+'true'/'false' text (any case) is a boolean; nested values and text starting
+with '{' or '[' that parses as JSON compare by content with sorted keys, where
+1 and 1.0 differ; two booleans compare directly; values that read as numbers
+(numbers, booleans as 1/0, numeric text) compare numerically; timestamps with
+and without zone compare as UTC; dates compare as their text; anything else
+compares as raw text of the same kind.
+
+Divergences kept on purpose: NaN equals NaN (null-safe semantics), so a float
+NULL does not look changed on every run; whole numbers compare exactly, not as
+doubles, so ids beyond 2^53 stay apart.  JSON objects that repeat a key compare
+as raw text, and two JSON texts that only swap which of two equal numbers is a
+fraction (1 and 1.0) count as equal.
+
+Writes never lose data silently: keys of another kind than the stored column's,
+and values that the stored type cannot hold, raise.  Column names that differ
+from a stored one only in case mean that column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,43 +89,87 @@ def evolve_schema(target: DataFrame | None, incoming: DataFrame, synced_col: str
     if target is None:
         st = T.StructType([T.StructField(n, SYNC_TYPES[t], True) for n, t in schema])
         return incoming.sparkSession.createDataFrame([], st)
-    have = set(target.columns)
-    extra = [F.lit(None).cast(SYNC_TYPES[t]).alias(n) for n, t in schema if n not in have]
+    have = {c.lower() for c in target.columns}
+    extra = [F.lit(None).cast(SYNC_TYPES[t]).alias(n) for n, t in schema if n.lower() not in have]
     return target.select("*", *extra) if extra else target
 
 
+def align_names(incoming: DataFrame, target: DataFrame | None) -> DataFrame:
+    """``incoming`` with the stored spelling of columns that differ only in case."""
+    stored = {c.lower(): c for c in (target.columns if target is not None else [])}
+    return incoming.toDF(*[stored.get(c.lower(), c) for c in incoming.columns])
+
+
 # ---------------------------------------------------------------- equality --
 
+# Numbers in JSON text; strings match first and leave the group empty.
+JSON_NUMBERS = r'"(?:[^"\\]|\\.)*"|(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)'
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
+_STAMPS = (T.TimestampType, T.TimestampNTZType)
+
+
+def utc_wall_clock(c: Column, dtype: T.DataType) -> Column:
+    """A timestamp of either kind as zone-less UTC."""
+    if isinstance(dtype, T.TimestampType):
+        c = F.to_utc_timestamp(c, F.current_timezone())
+    return c.cast("timestamp_ntz")
+
+
 def canonical(c: Column, dtype: T.DataType) -> Column:
-    """One comparable token per value (NULL for NULL): a struct (kind, number, text).
+    """One comparable token per value (NULL for NULL): a struct (kind, number, whole, text).
 
-    kind ``n`` with the number for booleans (1/0), numbers and numeric text --
-    so those compare numerically, booleans included; ``j`` with the JSON text
-    re-serialised with sorted keys; ``t`` with the text otherwise; ``o:<type>``
-    with the text form for other types.  Two values are equal when their tokens
-    are equal (NULL = NULL).
+    kind ``n`` with the exact whole number, or else the double, for booleans (1/0),
+    numbers and numeric text; ``j`` with the JSON text re-serialised with sorted keys
+    and the typed numbers in it; ``d`` with a timestamp's UTC text; ``t`` with the text
+    otherwise; ``o:<type>`` with the text form for other types.  Two values are equal
+    when their tokens are equal (NULL = NULL).
     """
-    null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
-
-    def tok(kind, num, text):
-        return F.struct(F.lit(kind).alias("k") if isinstance(kind, str) else kind.alias("k"),
-                        num.alias("n"), text.alias("t"))
+    def tok(kind: str, num=None, whole=None, text=None):
+        return F.struct(F.lit(kind).alias("k"), (F.lit(None) if num is None else num).cast("double").alias("n"),
+                        (F.lit(None) if whole is None else whole).cast("decimal(38,0)").alias("w"),
+                        (F.lit(None) if text is None else text).cast("string").alias("t"))
+
+    def number(x: Column):
+        """Token of a double: whole where it is a whole number of up to 38 digits."""
+        whole = F.when(x == F.rint(x), x.try_cast("decimal(38,0)"))
+        return F.when(whole.isNotNull(), tok("n", whole=whole)).otherwise(tok("n", num=x))
+
+    def json(text: Column, parsed: Column):
+        kinds = F.transform(F.filter(F.regexp_extract_all(text, F.lit(JSON_NUMBERS), F.lit(1)), lambda x: x != ""),
+                            lambda x: F.when(x.rlike("[.eE]"), F.concat(F.lit("f"), x.cast("double").cast("string")))
+                            .otherwise(F.concat(F.lit("i"), x)))
+        return tok("j", text=F.concat_ws("\n", F.to_json(parsed), F.array_join(F.array_sort(kinds), ",")))
 
-    if isinstance(dtype, (T.BooleanType, T.NumericType)):
-        return F.when(c.isNotNull(), tok("n", c.cast("double"), null_s))
+    if isinstance(dtype, T.BooleanType):
+        return F.when(c.isNotNull(), tok("n", whole=c.cast("int")))
+    if isinstance(dtype, T.IntegralType):
+        return F.when(c.isNotNull(), tok("n", whole=c))
+    if isinstance(dtype, T.DecimalType):
+        return F.when(c.isNotNull(), F.when(c == F.round(c, 0), tok("n", whole=c)).otherwise(tok("n", num=c)))
+    if isinstance(dtype, T.NumericType):
+        return F.when(c.isNotNull(), number(c.cast("double")))
+    if isinstance(dtype, _STAMPS):
+        return F.when(c.isNotNull(), tok("d", text=utc_wall_clock(c, dtype)))
+    if isinstance(dtype, T.DateType):
+        return F.when(c.isNotNull(), tok("t", text=c))
+    if isinstance(dtype, _NESTED):
+        text = json_encode(c, dtype)
+        return F.when(c.isNotNull(), json(text, F.try_parse_json(text)))
     if isinstance(dtype, T.StringType):
         low = F.lower(c)
         parsed = F.try_parse_json(c)
         # cheap cast first; the strict-number pattern only runs when it succeeds
-        number = F.replace(F.trim(c), F.lit("_"), F.lit("")).try_cast("double")
+        plain = F.replace(F.trim(c), F.lit("_"), F.lit(""))
+        double = plain.try_cast("double")
+        whole = F.when(plain.rlike(r"^[+-]?\d+$"), plain.try_cast("decimal(38,0)"))
         return (F.when(c.isNull(), F.lit(None))
-                .when(low == "true", tok("n", F.lit(1.0), null_s))
-                .when(low == "false", tok("n", F.lit(0.0), null_s))
-                .when((c.startswith("{") | c.startswith("[")) & parsed.isNotNull(),
-                      tok("j", null_d, F.to_json(parsed)))
-                .when(number.isNotNull() & c.rlike(NUMERIC_TEXT), tok("n", number, null_s))
-                .otherwise(tok("t", null_d, c)))
-    return F.when(c.isNotNull(), tok(f"o:{dtype.simpleString()}", null_d, c.cast("string")))
+                .when(low == "true", tok("n", whole=F.lit(1)))
+                .when(low == "false", tok("n", whole=F.lit(0)))
+                .when((c.startswith("{") | c.startswith("[")) & parsed.isNotNull(), json(c, parsed))
+                .when(double.isNotNull() & c.rlike(NUMERIC_TEXT),
+                      F.when(whole.isNotNull(), tok("n", whole=whole)).otherwise(number(double)))
+                .otherwise(tok("t", text=c)))
+    return F.when(c.isNotNull(), tok(f"o:{dtype.simpleString()}", text=c))
 
 
 def values_equal(a: Column, a_type: T.DataType, b: Column, b_type: T.DataType) -> Column:
@@ -145,28 +198,46 @@ def keyed_lookup(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return target.join(keys.select(key), key, "left_semi")
 
 
-def _matched(target: DataFrame, incoming: DataFrame, key: str, synced_col: str) -> DataFrame:
-    """Incoming rows with the stored row's columns (``__old_*``), per-column
-    ``__chg_*`` flags, ``__hit`` (a stored row exists), ``__action`` of
-    insert/update/unchanged and ``__changed`` (changed column names).
+def _same_key(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """``incoming`` with its key in the stored key's type; keys of another kind raise."""
+    stored, given = _types(target)[key], _types(incoming)[key]
+    if stored != given and sync_type(key, stored, "") != sync_type(key, given, ""):
+        raise ValueError(f"key {key!r} is {given.simpleString()}, the stored key {stored.simpleString()}")
+    return incoming.withColumn(key, F.col(key).cast(stored)) if stored != given else incoming
 
-    Canonical tokens are computed on each side *below* the join, once per row;
-    above it a change flag is a plain comparison of two token columns.
-    """
-    inc = incoming.drop(synced_col) if synced_col in incoming.columns else incoming
+
+def _once(df: DataFrame, key: str, what: str) -> DataFrame:
+    """``df``, raising where ``key`` is NULL or repeated (by the partitioning that the join uses)."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    said = F.concat(F.lit(f"{what}: key '{key}' must be unique and non-NULL; e.g. "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    bad = F.col(key).isNull() | (F.col("__n") > 1)
+    return df.withColumn("__n", n).withColumn("__ok", F.when(bad, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))).drop("__n")
+
+
+def _matched(target: DataFrame, incoming: DataFrame, key: str, synced_col: str, validate: bool = False) -> DataFrame:
+    """All keys of batch and target in one full outer join: the incoming row, the
+    stored row's columns (``__old_*``), per-column ``__chg_*`` flags, ``__action`` of
+    insert/update/unchanged/keep and ``__changed`` (changed column names)."""
+    inc = align_names(incoming, target)
+    inc = _same_key(target, inc.drop(synced_col) if synced_col in inc.columns else inc, key)
     evolved = evolve_schema(target, inc, synced_col)
     cols = _compared(inc, key, synced_col)
     ti, tt = _types(inc), _types(evolved)
-    stored = keyed_lookup(evolved, inc, key).select(
-        F.col(key).alias("__key"), F.lit(True).alias("__hit"),
-        *[F.col(c).alias(f"__old_{c}") for c in evolved.columns if c != key])
-    j = inc.join(stored, F.col(key) == F.col("__key"), "left").drop("__key")
-    j = j.select("*", *[(~values_equal(F.col(f"__old_{c}"), tt[c], F.col(c), ti[c])).alias(f"__chg_{c}")
-                        for c in cols])
+    ok_in, ok_old = F.lit(True), F.lit(True)
+    if validate:
+        inc, evolved = _once(inc, key, "incoming"), _once(evolved, key, "target")
+        ok_in, ok_old = F.col("__ok"), F.col("__ok")
+    old = evolved.select(F.col(key).alias("__key"), ok_old.alias("__hit"),
+                         *[F.col(c).alias(f"__old_{c}") for c in tt if c != key])
+    new = inc.select(*ti, ok_in.alias("__in"))
+    j = new.join(old, F.col(key) == F.col("__key"), "full_outer")
+    j = j.withColumn(key, F.coalesce(key, "__key")).drop("__key")
+    both = F.col("__in").isNotNull() & F.col("__hit").isNotNull()
+    j = j.select("*", *[(both & ~values_equal(F.col(f"__old_{c}"), tt[c], F.col(c), ti[c])).alias(f"__chg_{c}") for c in cols])
     any_chg = F.lit(False)
     for c in cols:
         any_chg = any_chg | F.col(f"__chg_{c}")
-    action = (F.when(F.col("__hit").isNull(), F.lit("insert"))
+    action = (F.when(F.col("__hit").isNull(), F.lit("insert")).when(F.col("__in").isNull(), F.lit("keep"))
               .when(any_chg, F.lit("update")).otherwise(F.lit("unchanged")))
     changed = F.array_compact(F.array(*[F.when(F.col(f"__chg_{c}"), F.lit(c)) for c in cols]))
     return j.select("*", action.alias("__action"), changed.alias("__changed"))
@@ -180,13 +251,8 @@ def classify_changes(target: DataFrame, incoming: DataFrame, key: str,
     NULL otherwise.
     """
     m = _matched(target, incoming, key, synced_col)
-    rows = m.select(key, F.col("__action").alias("action"),
-                    F.when(F.col("__action") == "update", F.array_join("__changed", ","))
-                    .alias("changed_columns"))
-    kept = (target.join(incoming.select(key), key, "left_anti")
-            .select(key, F.lit("keep").alias("action"),
-                    F.lit(None).cast("string").alias("changed_columns")))
-    return rows.unionByName(kept)
+    return m.select(key, F.col("__action").alias("action"),
+                    F.when(F.col("__action") == "update", F.array_join("__changed", ",")).alias("changed_columns"))
 
 
 def cell_diff(target: DataFrame, incoming: DataFrame, key: str, synced_col: str = SYNCED_AT) -> DataFrame:
@@ -194,11 +260,11 @@ def cell_diff(target: DataFrame, incoming: DataFrame, key: str, synced_col: str
     of updated rows; values rendered as text."""
     # Rows with a stored match; exploding the (possibly empty) list of changed
     # columns keeps exactly the updated cells.
-    m = _matched(target, incoming, key, synced_col).filter(F.col("__hit"))
-    inc = incoming.drop(synced_col) if synced_col in incoming.columns else incoming
-    cols = _compared(inc, key, synced_col)
+    m = _matched(target, incoming, key, synced_col).filter(F.col("__hit") & F.col("__in"))
+    inc = align_names(incoming, target)
+    cols, ti = _compared(inc, key, synced_col), _types(inc)
     m = m.select(key, *[F.col(f"__old_{c}").cast("string").alias(f"__o_{c}") for c in cols],
-                 *[F.col(c).cast("string").alias(f"__n_{c}") for c in cols],
+                 *[json_encode(F.col(c), ti[c]).cast("string").alias(f"__n_{c}") for c in cols],
                  # explode_outer + NULL filter: plain explode makes the optimizer
                  # infer size(__changed) > 0 below it, which evaluates every
                  # comparison a second time inside the join condition
@@ -220,41 +286,60 @@ def upsert_summary(classified: DataFrame) -> DataFrame:
     return classified.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _write_value(c: Column, src_type: T.DataType, dst_type: T.DataType) -> Column:
-    """An incoming value converted to the stored column's type."""
+def _write_value(c: Column, src_type: T.DataType, dst_type: T.DataType, name: str) -> Column:
+    """An incoming value converted to the stored column's type; a lossy conversion raises."""
     if src_type == dst_type:
         return c
     if isinstance(dst_type, T.BooleanType):
         return coerce_bool(c, src_type)
     if isinstance(dst_type, T.StringType):
         return json_encode(c, src_type).cast("string")
-    return c.cast(dst_type)
-
-
-def apply_upsert(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
-                 synced_col: str = SYNCED_AT) -> DataFrame:
-    """The table after the upsert (to be written as a new snapshot)."""
+    if isinstance(dst_type, T.TimestampNTZType) and isinstance(src_type, _STAMPS):
+        return utc_wall_clock(c, src_type)
+    if isinstance(src_type, T.NumericType) and isinstance(dst_type, T.NumericType):
+        value = c.try_cast(dst_type)
+    else:
+        value = c.cast("string").try_cast(dst_type)
+        if isinstance(dst_type, T.NumericType):
+            value = F.coalesce(value, c.cast("string").try_cast("double").try_cast(dst_type))
+    exact = value.isNotNull()
+    if isinstance(dst_type, T.NumericType):
+        exact = exact & values_equal(value, dst_type, c, src_type)
+    said = F.concat(F.lit(f"column '{name}': cannot store as {dst_type.simpleString()} without loss: "), c.cast("string"))
+    return F.when(c.isNull(), F.lit(None).cast(dst_type)).when(exact, value).otherwise(F.raise_error(said).cast(dst_type))
+
+
+ACTION = "__action"
+
+
+def upsert_rows(target: DataFrame | None, incoming: DataFrame, key: str, as_of, synced_col: str = SYNCED_AT,
+                validate: bool = False) -> DataFrame:
+    """The table after the upsert, with each row's action in ``__action``."""
+    incoming = align_names(incoming, target)
     inc = incoming.drop(synced_col) if synced_col in incoming.columns else incoming
     evolved = evolve_schema(target, inc, synced_col)
-    stamp = F.lit(as_of).cast(_types(evolved)[synced_col])
     tt, ti = _types(evolved), _types(inc)
-    m = _matched(evolved, inc, key, synced_col)
-    is_ins, is_upd = F.col("__action") == "insert", F.col("__action") == "update"
+    stamp = F.lit(as_of).cast(tt[synced_col])
+    m = _matched(evolved, inc, key, synced_col, validate)
+    action = F.col(ACTION)
     out = []
     for c in evolved.columns:
         if c == key:
-            out.append(F.col(key).cast(tt[key]).alias(key))
+            out.append(F.col(key))
         elif c == synced_col:
-            out.append(F.when(is_ins | is_upd, stamp).otherwise(F.col(f"__old_{c}")).alias(c))
+            out.append(F.when(action.isin("insert", "update"), stamp).otherwise(F.col(f"__old_{c}")).alias(c))
         elif c in ti:
-            new = _write_value(F.col(c), ti[c], tt[c])
-            out.append(F.when(is_ins | F.col(f"__chg_{c}"), new)
-                       .otherwise(F.col(f"__old_{c}")).alias(c))
+            new = _write_value(F.col(c), ti[c], tt[c], c)
+            out.append(F.when((action == "insert") | F.col(f"__chg_{c}"), new).otherwise(F.col(f"__old_{c}")).alias(c))
         else:
             out.append(F.col(f"__old_{c}").alias(c))
-    merged = m.select(*out)
-    kept = evolved.join(inc.select(key), key, "left_anti")
-    return kept.unionByName(merged)
+    return m.select(*out, ACTION)
+
+
+def apply_upsert(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
+                 synced_col: str = SYNCED_AT) -> DataFrame:
+    """The table after the upsert (to be written as a new snapshot)."""
+    return upsert_rows(target, incoming, key, as_of, synced_col).drop(ACTION)
 
 
 def check_unique_keys(df: DataFrame, key: str, what: str) -> None:
@@ -281,11 +366,8 @@ def sync_frames(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
         check_unique_keys(incoming, key, "incoming")
         if target is not None:
             check_unique_keys(target, key, "target")
-    new = apply_upsert(target, incoming, key, as_of, synced_col)
-    summary = (upsert_summary(classify_changes(target, incoming, key, synced_col))
-               if target is not None else incoming.groupBy().agg(F.count(F.lit(1)).alias("n"))
-               .select(F.lit("insert").alias("action"), "n"))
-    return new, summary
+    rows = upsert_rows(target, incoming, key, as_of, synced_col)
+    return rows.drop(ACTION), upsert_summary(rows.withColumnRenamed(ACTION, "action"))
 
 
 def json_encoded(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -5,26 +5,41 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from quillmart.operators.sync import SYNCED_AT, sync_frames
+from quillmart.operators.sync import ACTION, SYNCED_AT, align_names, evolve_schema, upsert_rows
+from quillmart.operators.versions import latest_version
 from quillmart.sources.sink import SnapshotTable
 
+ACTIONS = ("insert", "update", "unchanged", "keep")
+
 
 def sync_table(spark: SparkSession, incoming: DataFrame, key: str, base_path: str,
                as_of: dt.datetime | None = None, synced_col: str = SYNCED_AT,
-               dedupe_order: Sequence | None = None, version: int | None = None) -> dict[str, int]:
+               dedupe_order: Sequence | None = None, source: tuple[str, int] | None = None) -> dict[str, int]:
     """Upsert ``incoming`` into the snapshot table at ``base_path``.
 
     Creates the table when it does not exist, evolves its schema, inserts new
     keys, updates only changed columns of existing keys, and commits the result
-    as a new version.  Returns the row counts per action (at most four rows are
-    brought to the driver).
+    as a new version: one join, with the key check and the counts in the same
+    pass (the counts are an ``Observation`` of the written rows).  An empty batch
+    only adds the columns that the table lacks, and writes nothing if it lacks
+    none.  Returns the row counts per action.  ``source`` (a stream and its
+    epoch) is kept with the version.
     """
     table = SnapshotTable(spark, base_path)
     stamp = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    new, summary = sync_frames(table.current(), incoming, key, stamp, synced_col,
-                               dedupe_order=dedupe_order)
-    counts = {r["action"]: int(r["n"]) for r in summary.collect()}
-    table.commit(new, version=version)
-    return counts
+    current = table.current()
+    if incoming.isEmpty():
+        evolved = evolve_schema(current, align_names(incoming, current), synced_col)
+        if current is None or evolved.columns != current.columns:
+            table.commit(evolved, source=source)
+        return {}
+    if dedupe_order is not None:
+        incoming = latest_version(incoming, [key], dedupe_order)
+    rows = upsert_rows(current, incoming, key, stamp, synced_col, validate=True)
+    seen = Observation()
+    counted = rows.observe(seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS])
+    table.commit(counted.drop(ACTION), source=source)
+    return {a: n for a in ACTIONS if (n := int(seen.get[a]))}

@@ -6,12 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmart.functions.scalars import zero_pad
-from quillmart.operators.joins import bounded_broadcast
-
-# A padded numeric code table holds at most 10**width entries; above this
-# bound the lookup is joined by shuffle instead of broadcast.
-LOOKUP_BROADCAST_ROWS = 100_000
-
 
 def code_table(df: DataFrame, code_col: str, name_col: str, width: int = 3) -> DataFrame:
     """(code, name) with the code rendered as zero-padded text."""
@@ -23,4 +17,4 @@ def code_lookup(df: DataFrame, code_col: str, table: DataFrame, width: int = 3,
     """Add the padded code and its name (NULL when unknown) to every row."""
     t = table.select(F.col("code").alias(code_alias), F.col("name").alias(name_alias))
     keyed = df.withColumn(code_alias, zero_pad(code_col, width))
-    return keyed.join(bounded_broadcast(t, LOOKUP_BROADCAST_ROWS), code_alias, "left")
+    return keyed.join(t, code_alias, "left")

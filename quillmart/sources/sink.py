@@ -16,6 +16,7 @@ run never replaces the current data and a path is never overwritten while read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +35,13 @@ def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequenc
     NULL days go to the default partition.  The derived day column is a
     folder name only; ``read_mart`` drops it.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn(DAY_COL, F.to_date(F.col(partition_source)))
     order = [F.col(DAY_COL)] + [F.col(c) for c in cluster]
     # A row hash last in the range key splits a (day, cluster values) group
     # that holds a large share of all rows; identical keys alone cannot be split.
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    (keyed.repartitionByRange(n, *order, spread)
+    # Without a fixed number of partitions, adaptive execution sizes them.
+    (keyed.repartitionByRange(*([num_partitions] if num_partitions else []), *order, spread)
      .sortWithinPartitions(*order)
      .write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file)
@@ -58,19 +58,26 @@ def publish_mart(df: DataFrame, base: str, partition_source: str, cluster: Seque
     replace the job's CREATE OR REPLACE TABLE gives.
     """
     table = SnapshotTable(df.sparkSession, base)
-    v = table.versions()
-    path = f"{table.base}/v={(v[-1] + 1) if v else 1:06d}"
+    path = table.next_path()
     write_mart(df, path, partition_source, cluster, num_partitions, mode="errorifexists")
     table.mark_committed(path)
     return path
 
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
+def read_mart(spark: SparkSession, path: str, days: tuple | None = None) -> DataFrame:
     """A mart written by ``write_mart`` (a folder) or ``publish_mart`` (its base:
-    the newest complete version is read)."""
+    the newest complete version is read).
+
+    ``days`` (first, last: dates or ISO texts, either may be None) reads only the
+    folders of those days.
+    """
     v = SnapshotTable(spark, path).versions()
     target = f"{path.rstrip('/')}/v={v[-1]:06d}" if v else path
-    return spark.read.parquet(target).drop(DAY_COL)
+    mart = spark.read.parquet(target)
+    for bound, keep in zip(days or (), (F.col(DAY_COL).__ge__, F.col(DAY_COL).__le__)):
+        if bound is not None:
+            mart = mart.where(keep(F.lit(str(bound)).cast("date")))
+    return mart.drop(DAY_COL)
 
 
 class SnapshotTable:
@@ -86,39 +93,52 @@ class SnapshotTable:
         p = jvm.org.apache.hadoop.fs.Path(self.base)
         return p.getFileSystem(conf), jvm
 
-    def versions(self) -> list[int]:
+    def _folders(self) -> dict[int, bool]:
+        """Number -> whether it is complete, of all version folders."""
         fs, jvm = self._fs()
         root = jvm.org.apache.hadoop.fs.Path(self.base)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
+        out = {}
+        for st in fs.listStatus(root) if fs.exists(root) else []:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER)):
-                    out.append(int(name[2:]))
-        return sorted(out)
+                out[int(name[2:])] = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER))
+        return out
+
+    def versions(self) -> list[int]:
+        return sorted(v for v, complete in self._folders().items() if complete)
 
-    def mark_committed(self, path: str) -> None:
+    def next_path(self) -> str:
+        """The folder after all there are: one that a failed run left half-written keeps its number."""
+        return f"{self.base}/v={max(self._folders(), default=0) + 1:06d}"
+
+    def mark_committed(self, path: str, source: tuple[str, int] | None = None) -> None:
         """Create the commit marker after a successful write (does not rely on
-        the committer's optional _SUCCESS file)."""
+        the committer's optional _SUCCESS file); it holds the stream and epoch."""
+        fs, jvm = self._fs()
+        out = fs.create(jvm.org.apache.hadoop.fs.Path(path, COMMIT_MARKER), True)
+        if source:
+            out.write(bytearray(json.dumps(list(source)).encode()))
+        out.close()
+
+    def sources(self) -> set[tuple[str, int]]:
+        """The (stream, epoch) pairs that versions were made from."""
         fs, jvm = self._fs()
-        fs.create(jvm.org.apache.hadoop.fs.Path(path, COMMIT_MARKER), True).close()
+        out = set()
+        for v in self.versions():
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/v={v:06d}", COMMIT_MARKER)
+            if fs.getFileStatus(path).getLen():
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path)))
+                out.add(tuple(json.loads(reader.readLine())))
+                reader.close()
+        return out
 
     def current(self) -> DataFrame | None:
         v = self.versions()
         return self.spark.read.parquet(f"{self.base}/v={v[-1]:06d}") if v else None
 
-    def commit(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as ``version`` (default: next); returns its number.
-
-        Versions must increase; an existing folder is never overwritten.
-        """
-        v = self.versions()
-        nxt = version if version is not None else ((v[-1] + 1) if v else 1)
-        if v and nxt <= v[-1]:
-            raise ValueError(f"version {nxt} is not after current version {v[-1]}")
-        path = f"{self.base}/v={nxt:06d}"
+    def commit(self, df: DataFrame, source: tuple[str, int] | None = None) -> int:
+        """Write ``df`` as the next version; returns its number.  No existing folder is written to."""
+        path = self.next_path()
         df.write.mode("errorifexists").parquet(path)
-        self.mark_committed(path)
-        return nxt
+        self.mark_committed(path, source)
+        return int(path.rpartition("=")[2])

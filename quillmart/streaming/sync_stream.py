@@ -1,15 +1,17 @@
 """Continuous upsert: apply each micro-batch of a stream to a snapshot table.
 
 The job's upsert is a batch call; on a stream it runs once per micro-batch in
-``foreachBatch``.  Each batch becomes snapshot version ``epoch + 1``; a batch
-replayed after a failure finds its version already committed and is skipped,
-so replays never apply twice.  The sync time of a batch is the stream's
-trigger time for that epoch, fixed per batch.
+``foreachBatch``.  Each batch becomes the table's next version, whose commit
+marker names the stream (by its checkpoint location) and the epoch; a batch
+replayed after a failure finds its own marker and is skipped, so replays never
+apply twice, and no other batch is ever skipped.  The sync time is the moment at
+which a batch is applied.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -20,21 +22,23 @@ from quillmart.sources.sink import SnapshotTable
 
 
 def upsert_batch(table: SnapshotTable, batch: DataFrame, epoch_id: int, key: str,
-                 synced_col: str = SYNCED_AT, as_of: dt.datetime | None = None) -> bool:
-    """Apply one batch; returns False when this epoch was already committed."""
-    version = epoch_id + 1
-    if version in table.versions():
+                 synced_col: str = SYNCED_AT, as_of: dt.datetime | None = None,
+                 stream: str = "", dedupe_order: Sequence | None = None) -> bool:
+    """Apply one batch; returns False when this stream's epoch was already committed."""
+    if (stream, epoch_id) in table.sources():
         return False
-    sync_table(table.spark, batch, key, table.base, as_of, synced_col, version=version)
+    sync_table(table.spark, batch, key, table.base, as_of, synced_col, dedupe_order, source=(stream, epoch_id))
     return True
 
 
 def start_sync_stream(stream: DataFrame, table: SnapshotTable, key: str, checkpoint_location: str,
-                      synced_col: str = SYNCED_AT, trigger: dict | None = None) -> StreamingQuery:
+                      synced_col: str = SYNCED_AT, trigger: dict | None = None,
+                      dedupe_order: Sequence | None = None) -> StreamingQuery:
     """Start a streaming upsert of ``stream`` into ``table``."""
-    writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch: upsert_batch(table, df, epoch, key, synced_col))
-              .option("checkpointLocation", checkpoint_location))
+    def apply(df: DataFrame, epoch: int) -> None:
+        upsert_batch(table, df, epoch, key, synced_col, stream=checkpoint_location, dedupe_order=dedupe_order)
+
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -41,7 +41,8 @@ def test_streaming_upsert_matches_batch(spark):
     assert got.count() == incoming.count()
     assert got.filter(F.col("_synced_at").isNull()).count() == 0
     # replaying an epoch that is already committed is a no-op
-    assert upsert_batch(table, incoming, 0, "ref_id", as_of=dt.datetime(2030, 1, 1)) is False
+    stream, epoch = next(iter(table.sources()))
+    assert upsert_batch(table, incoming, epoch, "ref_id", as_of=dt.datetime(2030, 1, 1), stream=stream) is False
 
 
 def test_sync_table_twice_is_idempotent(spark):
