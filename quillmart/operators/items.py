@@ -28,16 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillmart.operators.attributes import FIXTURE_FIELDS, attribute_pivot
+from quillmart.operators.attributes import WAREHOUSE_FIELDS, attribute_pivot
+from quillmart.operators.companies import WAREHOUSE_DEAL_STAGES, WAREHOUSE_EXCLUDED_DEAL_TYPES
 from quillmart.operators.companies import engaged_companies
 from quillmart.operators.metrics import completion_ids, due_instants
 from quillmart.operators.staging import (
-    FIXTURE_FIELD_VALUE,
-    FIXTURE_PAY_RATE,
-    FIXTURE_PROJECT,
-    FIXTURE_TASK,
-    FIXTURE_TASK_PROJECT,
-    FIXTURE_USER,
+    WAREHOUSE_FIELD_VALUE,
+    WAREHOUSE_PAY_RATE,
+    WAREHOUSE_PROJECT,
+    WAREHOUSE_TASK,
+    WAREHOUSE_TASK_PROJECT,
+    WAREHOUSE_USER,
     stage,
     version_order,
 )
@@ -62,12 +63,12 @@ class Sources:
 
 @dataclass
 class Layouts:
-    task: dict = field(default_factory=lambda: dict(FIXTURE_TASK))
-    task_project: dict = field(default_factory=lambda: dict(FIXTURE_TASK_PROJECT))
-    project: dict = field(default_factory=lambda: dict(FIXTURE_PROJECT))
-    user: dict = field(default_factory=lambda: dict(FIXTURE_USER))
-    field_value: dict = field(default_factory=lambda: dict(FIXTURE_FIELD_VALUE))
-    pay_rate: dict = field(default_factory=lambda: dict(FIXTURE_PAY_RATE))
+    task: dict = field(default_factory=lambda: dict(WAREHOUSE_TASK))
+    task_project: dict = field(default_factory=lambda: dict(WAREHOUSE_TASK_PROJECT))
+    project: dict = field(default_factory=lambda: dict(WAREHOUSE_PROJECT))
+    user: dict = field(default_factory=lambda: dict(WAREHOUSE_USER))
+    field_value: dict = field(default_factory=lambda: dict(WAREHOUSE_FIELD_VALUE))
+    pay_rate: dict = field(default_factory=lambda: dict(WAREHOUSE_PAY_RATE))
 
 
 @dataclass
@@ -77,9 +78,9 @@ class Params:
     lifecycles (derived from ``as_of`` when None)."""
     as_of: object
     today: object = None
-    stages: Sequence[str] = ("F",)
-    excluded_types: Sequence[str] = ("5-LOW", "2-HIGH")
-    fields: Sequence[tuple[str, str]] = FIXTURE_FIELDS
+    stages: Sequence[str] = WAREHOUSE_DEAL_STAGES
+    excluded_types: Sequence[str] = WAREHOUSE_EXCLUDED_DEAL_TYPES
+    fields: Sequence[tuple[str, str]] = WAREHOUSE_FIELDS
     source_zone: str = "UTC"
     due_zone: str = "America/New_York"
     strict_parse: bool = True

@@ -27,6 +27,12 @@ WAREHOUSE_TASK_PROJECT = {
 }
 WAREHOUSE_PROJECT = {
     "_upserted_at": "WhenUpsertedIntoDataStore", "project_id": "Gid", "project_name": "Name",
+    "project_html_description": "HtmlNotes", "project_description": "Notes", "project_link": "PermalinkUrl",
+    "project_resource_type": "ResourceType", "project_is_deleted": "IsDeleted", "project_is_archived": "Archived",
+    "project_is_completed": "Completed", "project_created_at": "CreatedAt", "project_start_at": "StartOn",
+    "project_modified_at": "ModifiedAt", "project_due_date": "DueDate", "project_due_at": "DueOn",
+    "project_completed_at": "CompletedAt", "project_completed_by_user_id": "CompletedByUserGID",
+    "project_owner_user_id": "OwnerUserGID", "project_team_id": "TeamGID",
 }
 WAREHOUSE_USER = {
     "_upserted_at": "WhenUpsertedIntoDataStore", "user_id": "GID", "user_name": "Name",
@@ -62,13 +68,13 @@ FIXTURE_FIELD_VALUE = {"_upserted_at": "upserted_at", "_version": "version_id",
 FIXTURE_PAY_RATE = {"worker_email": "worker_email", "effective_from": "effective_from",
                     "position_title": "position_title", "_version": "version_id"}
 
-_DATE_COLUMNS = {"task_due_date"}
+_DATE_COLUMNS = {"task_due_date", "project_due_date"}
 
 
 def stage(df: DataFrame, layout: dict[str, str], keep_other: bool = False) -> DataFrame:
     """Select ``source AS model`` for every entry of ``layout``.
 
-    ``task_due_date`` is cast to DATE (the job's ``DATE(DueOn)``).  With
+    ``task_due_date`` and ``project_due_date`` are cast to DATE.  With
     ``keep_other`` the remaining source columns are passed through unchanged.
     """
     cols = []

@@ -28,8 +28,9 @@ compares as raw text of the same kind.
 Divergences kept on purpose: NaN equals NaN (null-safe semantics), so a float
 NULL does not look changed on every run; whole numbers compare exactly, not as
 doubles, so ids beyond 2^53 stay apart.  JSON objects that repeat a key compare
-as raw text, and two JSON texts that only swap which of two equal numbers is a
-fraction (1 and 1.0) count as equal.
+as raw text, JSON numbers written with and without an exponent differ, and two
+JSON texts that only swap which of two equal numbers is a fraction (1 and 1.0)
+count as equal.
 
 Writes never lose data silently: keys of another kind than the stored column's,
 and values that the stored type cannot hold, raise.  Column names that differ

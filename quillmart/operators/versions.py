@@ -7,22 +7,20 @@ arrives at its reducer as one row per map task.
 
 ``version_rank`` numbers *every* version of a key.  A plain key window would
 send all rows of a hot key to one task, so the ranking runs on a range
-partitioning of (key, version): a hot key spans many partitions, each partition
-numbers its rows locally (Arrow batches, in order), and a per-partition offset
-table -- one row per partition, so its size is bounded by the partition count
-and it is safe to broadcast -- lifts the local numbers to the key's rank.  The
-range-partitioned rows are checkpointed once so both passes see identical
-partitions.
+partitioning of (key, version): a hot key spans many partitions, a window over
+(partition, key) numbers the rows of each range -- no group is larger than one
+range partition -- and a per-partition offset table -- one row per partition, so
+its size is bounded by the partition count and it is safe to broadcast -- lifts
+the local numbers to the key's rank.  The range-partitioned rows are
+checkpointed once so both passes see identical partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quillmart.functions.scalars import as_col
 from quillmart.session import scratch_dir
@@ -45,31 +43,6 @@ def latest_version(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> Da
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def _local_numbers(keys: list[str], rank_col: str):
-    """mapInPandas body: number rows per key within one sorted partition."""
-
-    def run(batches):
-        prev_key = None
-        prev_count = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            kv = pdf[keys].astype(object).where(pdf[keys].notna(), None)
-            tuples = list(map(tuple, kv.itertuples(index=False, name=None)))
-            starts = [i == 0 or tuples[i] != tuples[i - 1] for i in range(len(tuples))]
-            group = pd.Series(starts, index=pdf.index).cumsum()
-            rn = pdf.groupby(group, sort=False).cumcount() + 1
-            if tuples[0] == prev_key:
-                rn = rn.where(group != 1, rn + prev_count)
-            last = tuples[-1]
-            prev_count = int(rn.iloc[-1])
-            prev_key = last
-            pdf[rank_col] = rn.astype("int64")
-            yield pdf
-
-    return run
-
-
 def version_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence,
                  rank_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order_by DESC).
@@ -78,29 +51,26 @@ def version_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence,
     """
     keys = list(keys)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The row hash last splits versions that tie on (key, order) -- a hot key
-    # whose versions share one timestamp still spreads over partitions.  Tied
-    # rows get distinct consecutive ranks in an arbitrary order, as in SQL.
-    spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    sort = [F.col(k).asc_nulls_first() for k in keys] + _order(order_by) + [spread]
-    pid = "__pid"
+    # A row's place of origin last in the range key splits versions that tie on
+    # (key, order), fully identical rows included.  Tied rows get distinct
+    # consecutive ranks in an arbitrary order, as in SQL.
+    pid, at = "__pid", "__at"
+    sort = [F.col(k).asc_nulls_first() for k in keys] + _order(order_by) + [F.col(at)]
     # The partition ids must be the same in both branches below (offsets and
     # local numbers).  Range bounds are sampled per exchange, so two exchanges
     # could disagree; the partitioned rows are therefore materialised once with
     # a reliable checkpoint in the shared checkpoint folder, which both
     # branches read (and which survives executor loss without re-sampling).
-    # The explicit count also keeps AQE from coalescing the partitions.
     scratch_dir(spark)  # ensures a checkpoint folder is configured
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    ranged = (df.withColumn(at, F.monotonically_increasing_id())
+              .repartitionByRange(*([num_partitions] if num_partitions else []), *sort)
               .withColumn(pid, F.spark_partition_id())
               .checkpoint(eager=True))
-    out_schema = T.StructType(ranged.schema.fields + [T.StructField(rank_col, T.LongType(), False)])
-    local = ranged.mapInPandas(_local_numbers(keys, rank_col), out_schema)
+    own = Window.partitionBy(pid, *keys).orderBy(*_order(order_by), at)
+    local = ranged.withColumn(rank_col, F.row_number().over(own).cast("bigint"))
 
     # One row per non-empty partition: its first key, its last key and how
-    # many rows of the last key it holds.  Built from narrow (partition, key)
-    # counts, so the Python pass runs once, in the final branch.
+    # many rows of the last key it holds, from narrow (partition, key) counts.
     key_struct = F.struct(*[F.col(k) for k in keys])
     counts = ranged.groupBy(F.col(pid), key_struct.alias("k")).count()
     edges = counts.groupBy(pid).agg(

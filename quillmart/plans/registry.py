@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 from quillmart.functions.scalars import coerce_bool, full_name, json_first_scalar, url_id
 from quillmart.functions.timeutil import parse_local_timestamp
+from quillmart.operators.attributes import FIXTURE_FIELDS
 from quillmart.operators.companies import current_companies, engaged_companies, qualifying_deals
 from quillmart.operators.items import (
+    Layouts,
     Params,
     Sources,
     people_joins,
@@ -32,7 +34,16 @@ from quillmart.operators.items import (
     latest_pay_rate,
 )
 from quillmart.operators.metrics import completion_ids, due_instants, sla_flags, sla_metrics, status_flags
-from quillmart.operators.staging import stage, version_order
+from quillmart.operators.staging import (
+    FIXTURE_FIELD_VALUE,
+    FIXTURE_PAY_RATE,
+    FIXTURE_PROJECT,
+    FIXTURE_TASK,
+    FIXTURE_TASK_PROJECT,
+    FIXTURE_USER,
+    stage,
+    version_order,
+)
 from quillmart.operators.sync import (
     apply_upsert,
     cell_diff,
@@ -56,7 +67,10 @@ TODAY = dt.date(1997, 12, 16)
 
 
 def params() -> Params:
-    return Params(as_of=AS_OF, today=TODAY)
+    """The fixed oracle parameters, with the layouts of the derived tables."""
+    return Params(as_of=AS_OF, today=TODAY, stages=("F",), excluded_types=("5-LOW", "2-HIGH"), fields=FIXTURE_FIELDS,
+                  layouts=Layouts(FIXTURE_TASK, FIXTURE_TASK_PROJECT, FIXTURE_PROJECT, FIXTURE_USER,
+                                  FIXTURE_FIELD_VALUE, FIXTURE_PAY_RATE))
 
 
 def sources(fx: Fixtures) -> Sources:
@@ -66,13 +80,13 @@ def sources(fx: Fixtures) -> Sources:
                    deal_company=fx["f_deal_company"], deal=fx["f_deal"], owner=fx["f_owner"])
 
 
-_FIXTURES: dict[tuple[int, str], Fixtures] = {}
+_FIXTURES: dict[tuple[str, str], Fixtures] = {}
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
-    """Derived tables per (session, folder); frames are immutable, so queries share them."""
-    k = (id(spark), sf_dir)
-    if k not in _FIXTURES:
+    """Derived tables per (application, folder); frames are immutable, so queries share them."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _FIXTURES or _FIXTURES[k].spark is not spark:
         _FIXTURES[k] = Fixtures(spark, sf_dir)
     return _FIXTURES[k]
 

@@ -2,13 +2,15 @@
 
 Cluster jobs get their session from the platform; ``build_session`` is for
 tests, the bench and local runs.  ``scratch_dir`` always prefers the folder the
-cluster names in ``spark.checkpoint.dir`` and only invents one when it is unset
-(local runs), so nothing is written to a machine-local folder on a cluster.
+cluster names in ``spark.checkpoint.dir`` and invents one only in local mode, so
+nothing is written to a machine-local folder on a cluster.  ``apply_query_conf``
+sets the session's time zone and code-generation limit for good.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -62,11 +64,14 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
     Reads ``spark.checkpoint.dir`` (conf) or the context's checkpoint dir; when
-    neither is set (tests, local runs) it sets one under the local temp folder.
+    neither is set, a local session gets one under the local temp folder, and any
+    other raises: executors cannot see the driver's own folders.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="quillmart-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
