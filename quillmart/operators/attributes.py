@@ -29,16 +29,15 @@ WAREHOUSE_FIELDS = (
 )
 # ------------------------------------------------------------------------------
 
-# Binding used with the derived test tables (event types stand in for ids; the
-# three ids that do not occur there give all-NULL columns, as absent ids do).
+# Binding used with the derived test tables (event types stand in for ids).
 FIXTURE_FIELDS = (
     ("click", "cf_priority"),
     ("error", "cf_effort_score"),
     ("signup", "cf_raw_original_due_date"),
     ("purchase", "cf_raw_original_due_date_change_count"),
-    ("1207209146861080", "cf_task_type_cswo_wp"),
-    ("1208942402522699", "cf_task_type_cswo_crm"),
-    ("1207160032209514", "cf_task_type_cswo_rca"),
+    ("view2", "cf_task_type_cswo_wp"),
+    ("click2", "cf_task_type_cswo_crm"),
+    ("error2", "cf_task_type_cswo_rca"),
     ("view", "cf_task_source"),
 )
 

@@ -1,8 +1,11 @@
 """DuckDB oracle SQL for every registered query.
 
-Written independently of the Spark code and, where the Spark side rewrites the
-job (one-pass pivot, semi-join, narrow dedupes), in the job's *original* form:
-eight self-joins, outer join + NOT NULL + DISTINCT, wide DISTINCT.  The derived
+Where the Spark side rewrites the job (one-pass pivot, semi-join, narrow dedupes),
+the SQL keeps the job's *original* form: eight self-joins, outer join + NOT NULL +
+DISTINCT, wide DISTINCT.  The upsert's text and number rule is restated here, so it
+cannot catch a mistake in the rule itself; the columns ``big``, ``rate`` and ``tags``
+are compared by what must come out, and ``tests/test_upsert_types.py`` states the
+rest by value.  The derived
 input tables are inlined as CTEs (the driver registers only raw tables).
 """
 
@@ -32,8 +35,8 @@ URL_ID = "nullif(regexp_extract({x}, '(?:/project/|/0/)(\\d+)(?:/|$)', 1), '')"
 FIELDS = [
     ("click", "cf_priority"), ("error", "cf_effort_score"), ("signup", "cf_raw_original_due_date"),
     ("purchase", "cf_raw_original_due_date_change_count"),
-    ("1207209146861080", "cf_task_type_cswo_wp"), ("1208942402522699", "cf_task_type_cswo_crm"),
-    ("1207160032209514", "cf_task_type_cswo_rca"), ("view", "cf_task_source"),
+    ("view2", "cf_task_type_cswo_wp"), ("click2", "cf_task_type_cswo_crm"),
+    ("error2", "cf_task_type_cswo_rca"), ("view", "cf_task_source"),
 ]
 
 TASK_CTE = f"""task AS (
@@ -239,7 +242,13 @@ def canon(x: str, kind: str) -> tuple[str, str, str]:
     return k, n, t
 
 
+def list_text(x: str) -> str:
+    return f"CAST(to_json({x}) AS VARCHAR)"
+
+
 def equal_sql(a: str, at: str, b: str, bt: str) -> str:
+    if at == "own":
+        return f"({a} IS NOT DISTINCT FROM {list_text(b) if bt == 'list' else b})"
     ka, na, ta = canon(a, at)
     kb, nb, tb = canon(b, bt)
     return (f"(CASE WHEN ({ka}) IS NULL AND ({kb}) IS NULL THEN TRUE "
@@ -250,9 +259,12 @@ def equal_sql(a: str, at: str, b: str, bt: str) -> str:
             f"ELSE ({ka}) = ({kb}) AND ({ta}) IS NOT DISTINCT FROM ({tb}) END)")
 
 
-# incoming column -> (stored type, incoming type); priority is new (stored NULL string)
+# incoming column -> (stored type, incoming type); priority is new (stored NULL string).
+# The last three state what the rule must give for them, not the rule itself: whole
+# numbers exactly, JSON 1 and 1.0 apart, a list equal to its stored JSON text.
 SYNC_COLS = [("status", "str", "str"), ("price", "num", "num"), ("code", "str", "str"),
-             ("flag", "bool", "str"), ("payload", "str", "str"), ("priority", "str", "str")]
+             ("flag", "bool", "str"), ("payload", "str", "str"), ("priority", "str", "str"),
+             ("big", "own", "own"), ("rate", "own", "own"), ("tags", "own", "list")]
 
 
 def sync_with() -> str:
@@ -284,6 +296,8 @@ def sync_upsert_sql() -> str:
         new = f"i.{c}"
         if st == "bool" and it == "str":
             new = f"CASE WHEN lower(i.{c}) = 'true' THEN TRUE WHEN lower(i.{c}) = 'false' THEN FALSE END"
+        if it == "list":
+            new = list_text(new)
         return f"CASE WHEN c.action = 'insert' OR NOT c.{c}_equal THEN {new} ELSE e.{c} END AS {c}"
     cols = ",\n    ".join(val(c, st, it) for c, st, it in SYNC_COLS)
     return sync_with() + f"""SELECT c.ref_id,
@@ -296,9 +310,10 @@ SELECT * FROM ev WHERE ref_id NOT IN (SELECT ref_id FROM f_sync_incoming)"""
 
 def cell_diff_sql() -> str:
     parts = []
-    for c, _, _ in SYNC_COLS:
+    for c, _, it in SYNC_COLS:
+        new = list_text(f"i.{c}") if it == "list" else f"CAST(i.{c} AS VARCHAR)"
         parts.append(f"SELECT c.ref_id, '{c}' AS column_name, CAST(e.{c} AS VARCHAR) AS existing_value, "
-                     f"CAST(i.{c} AS VARCHAR) AS new_value FROM cls c JOIN f_sync_incoming i ON c.ref_id = i.ref_id "
+                     f"{new} AS new_value FROM cls c JOIN f_sync_incoming i ON c.ref_id = i.ref_id "
                      f"JOIN ev e ON c.ref_id = e.ref_id WHERE c.action = 'update' AND NOT c.{c}_equal")
     return sync_with() + "\nUNION ALL\n".join(parts)
 

@@ -13,6 +13,8 @@ def test_staging_and_mart_counts(spark):
     assert stg.filter(F.col("company_id").isNotNull()).count() == 122
     assert stg.filter(F.col("project_id").isNull()).count() == 209
     assert stg.filter(F.col("task_is_completed").isNull()).count() == 818
+    assert stg.filter(F.coalesce("cf_task_type_cswo_wp", "cf_task_type_cswo_crm", "cf_task_type_cswo_rca").isNotNull()).count() > 0
+    assert stg.filter(F.col("task_assignee_id").isNull()).count() == 57
     assert QUERIES["item_mart"](spark, SF_SMALL).count() == 3113
 
 
@@ -25,4 +27,4 @@ def test_company_counts(spark):
 
 def test_upsert_counts(spark):
     got = {r.action: r.n for r in QUERIES["sync_summary"](spark, SF_SMALL).collect()}
-    assert got == {"insert": 150, "update": 319, "unchanged": 881, "keep": 150}
+    assert got == {"insert": 300, "update": 425, "unchanged": 775, "keep": 300}

@@ -53,7 +53,7 @@ def test_sync_table_twice_is_idempotent(spark):
     first = sync_table(spark, existing, "ref_id", base, as_of=dt.datetime(2001, 9, 1))
     assert first == {"insert": existing.count()}
     second = sync_table(spark, fx["f_sync_incoming"], "ref_id", base, as_of=dt.datetime(2002, 1, 1))
-    assert second == {"insert": 150, "update": 319, "unchanged": 881, "keep": 150}
+    assert second == {"insert": 300, "update": 425, "unchanged": 775, "keep": 300}
     third = sync_table(spark, fx["f_sync_incoming"], "ref_id", base, as_of=dt.datetime(2002, 2, 1))
     assert third.get("insert", 0) == 0 and third.get("update", 0) == 0
     t = SnapshotTable(spark, base)
