@@ -192,28 +192,46 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     witness = _witnesses(words, which, first)
     text = np.repeat(np.arange(len(texts)), np.diff(np.append(first, len(which))))
     pairs = _distinct((text * len(words) + which)[witness[text]])
-    number: dict[str, int] = {}
-    of_word = [[number.setdefault(f, len(number)) for f in features(w)] for w in words]
-    size = np.array(list(map(len, of_word)))
-    flat = np.array([f for fs in of_word for f in fs], np.int64)
     per, word = pairs // len(words), pairs % len(words)
-    held = flat[bpe.spread((np.cumsum(size) - size)[word], size[word])]
-    held = _distinct(np.repeat(per, size[word]) * len(number) + held)
-    label = toxic[held // len(number)]
-    n, m = (np.bincount(held[label == k] % len(number), minlength=len(number)).astype(float) for k in (1, 0))
+    rude = toxic[per] == 1
+    # Features of words in toxic texts, and of these the ones that enough toxic texts hold.
+    lexicon = _numbered(words, np.unique(word[rude]))
+    n = _texts_with(lexicon, words, per[rude], word[rude])
+    lexicon = {f: k for k, f in enumerate(f for f, i in lexicon.items() if n[i] >= LEAST_DOCS)}
+    n, m = (_texts_with(lexicon, words, per[own], word[own]) for own in (rude, ~rude))
     total = np.bincount(toxic[witness], minlength=2).astype(float)
     expected = (n + m) * total[1] / total.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (n * np.log(n / expected) + np.where(m > 0, m * np.log(m / (n + m - expected)), 0))
         odds = np.log((n + .5) / (total[1] - n + .5)) - np.log((m + .5) / (total[0] - m + .5))
-        marked = (n >= LEAST_DOCS) & (n > expected) & (odds >= LEAST_ODDS) & (g >= LEAST_G)
-    lexicon = {f: k for k, f in enumerate(f for f, i in number.items() if marked[i])}
+        marked = (n > expected) & (odds >= LEAST_ODDS) & (g >= LEAST_G)
+    lexicon = {f: k for k, f in enumerate(f for f, i in lexicon.items() if marked[i])}
     model = Model(lexicon)
     _fit_chain(model, words, which, first, text, toxic)
-    _fit_scores(model, words, which, first, toxic)
+    _fit_scores(model, texts, toxic)
     return model
 
 
+def _numbered(words: list[bytes], own: np.ndarray) -> dict[str, int]:
+    number: dict[str, int] = {}
+    for w in own.tolist():
+        for f in features(words[w]):
+            number.setdefault(f, len(number))
+    return number
+
+
+def _texts_with(lexicon: dict[str, int], words: list[bytes], per: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Number of texts that hold each feature, from the (text, word) pairs."""
+    own = np.unique(word)
+    found = [(w, f) for w in own.tolist() for x in features(words[w]) if (f := lexicon.get(x)) is not None]
+    found = np.array(found, np.int64).reshape(-1, 2)
+    count = np.bincount(found[:, 0], minlength=len(words))
+    at = np.cumsum(count) - count
+    held = found[bpe.spread(at[word], count[word]), 1]
+    pairs = _distinct(np.repeat(per, count[word]) * max(1, len(lexicon)) + held)
+    return np.bincount(pairs % max(1, len(lexicon)), minlength=len(lexicon)).astype(float)
+
+
 def _witnesses(words: list[bytes], which: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Whether each text counts: near copies of an earlier one, which share a least 5-word shingle, do not."""
     rng = np.random.default_rng(5)
@@ -271,11 +289,15 @@ def _fit_chain(model: Model, words, which, first, text, toxic) -> None:
     model.lexical, model.bias, model.near, model.trans = x[:k], x[k], x[k + 1:k + 3], x[k + 3:].reshape(3, 2)
 
 
-def _fit_scores(model: Model, words, which, first, toxic) -> None:
+def _fit_scores(model: Model, texts: list[str], toxic: np.ndarray) -> None:
     """Newton steps of a logistic regression of the labels on each text's largest and summed marginal."""
-    emit, _ = emissions(model, words, which, first)
-    p = marginals(model, emit, first)[0] if len(emit) else np.zeros(0)
-    x = np.stack((np.ones(len(first)), by_text(p, first, np.maximum), np.log1p(by_text(p, first, np.add))), 1)
+    rows = []
+    for k in range(0, len(texts), 256):
+        words, which, _, _, first = words_of([lower(t) for t in texts[k:k + 256]])
+        emit, _ = emissions(model, words, which, first)
+        p = marginals(model, emit, first)[0] if len(emit) else np.zeros(0)
+        rows.append(np.stack((np.ones(len(first)), by_text(p, first, np.maximum), np.log1p(by_text(p, first, np.add))), 1))
+    x = np.concatenate(rows)
     b = np.zeros(3)
     for _ in range(30):
         q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
