@@ -195,6 +195,8 @@ def _ranked(index: DataFrame, visits: DataFrame, keep: int) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(name)
 
     own = [F.pmod(F.xxhash64("id"), F.col(c)).cast("int") for c in ("rs", "ps")]
+    # Both sides are many times the files they come from: no broadcast by file size.
+    index, visits = index.hint("merge"), visits.hint("merge")
     a = index.join(cut, ["t", "bucket"]).select("t", "bucket", own[0].alias("r"), every("ps", "p"), F.lit(1).alias("role"), "id", "vector")
     b = visits.join(cut, ["t", "bucket"]).select("t", "bucket", every("rs", "r"), own[1].alias("p"), F.lit(0).alias("role"), "id", "vector")
     unit = ["t", "bucket", "r", "p"]
