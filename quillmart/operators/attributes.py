@@ -29,15 +29,15 @@ WAREHOUSE_FIELDS = (
 )
 # ------------------------------------------------------------------------------
 
-# Binding used with the derived test tables (event types stand in for ids).
+# Binding used with the derived test tables (event types stand in for ids; three of them feed two columns).
 FIXTURE_FIELDS = (
     ("click", "cf_priority"),
     ("error", "cf_effort_score"),
     ("signup", "cf_raw_original_due_date"),
     ("purchase", "cf_raw_original_due_date_change_count"),
-    ("view2", "cf_task_type_cswo_wp"),
-    ("click2", "cf_task_type_cswo_crm"),
-    ("error2", "cf_task_type_cswo_rca"),
+    ("view", "cf_task_type_cswo_wp"),
+    ("click", "cf_task_type_cswo_crm"),
+    ("error", "cf_task_type_cswo_rca"),
     ("view", "cf_task_source"),
 )
 

@@ -35,8 +35,8 @@ URL_ID = "nullif(regexp_extract({x}, '(?:/project/|/0/)(\\d+)(?:/|$)', 1), '')"
 FIELDS = [
     ("click", "cf_priority"), ("error", "cf_effort_score"), ("signup", "cf_raw_original_due_date"),
     ("purchase", "cf_raw_original_due_date_change_count"),
-    ("view2", "cf_task_type_cswo_wp"), ("click2", "cf_task_type_cswo_crm"),
-    ("error2", "cf_task_type_cswo_rca"), ("view", "cf_task_source"),
+    ("view", "cf_task_type_cswo_wp"), ("click", "cf_task_type_cswo_crm"),
+    ("error", "cf_task_type_cswo_rca"), ("view", "cf_task_source"),
 ]
 
 TASK_CTE = f"""task AS (
