@@ -42,9 +42,23 @@ QUERY_CONF = {
 def apply_query_conf(spark: SparkSession) -> SparkSession:
     for k, v in QUERY_CONF.items():
         spark.conf.set(k, v)
+    share_package(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python tasks import this package from where the driver has it.
+
+    Harmless where that path does not exist: there the package comes with
+    ``--py-files`` or an installation.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "quillmart", extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
