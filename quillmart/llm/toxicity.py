@@ -39,6 +39,8 @@ BEGINNINGS = (4, 5, 6)
 LEAST_DOCS, LEAST_ODDS, LEAST_G = 4, 2.0, 20.0
 STEPS, RATE, RIDGE = 40, 0.3, 1e-3
 BLOCK = 64
+#: Text bytes that are scored at once: a token takes some 150 bytes meanwhile.
+SLICE = 3 << 20
 
 FOLDS = 5
 
@@ -322,7 +324,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, score, spans) of every row; spans are ``start:end`` of offending words in code points."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 2):
+        for part in slices(batches, 2, SLICE):
             texts = [lower(t) if t else "" for t in part.column(2).to_pylist()]
             words, which, at, end, first = words_of(texts)
             emit, _ = emissions(model, words, which, first)
@@ -353,7 +355,7 @@ def clean(df: DataFrame, model: Model, text_col: str = "text", limit: float = 0.
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, at):
+        for part in slices(batches, at, SLICE):
             texts = [lower(t) if t else "" for t in part.column(at).to_pylist()]
             words, which, _, _, first = words_of(texts)
             emit, _ = emissions(model, words, which, first)
