@@ -5,8 +5,11 @@ with Gaussian a, so that near vectors share or neighbour each other's buckets.
 query visits, in every table, the buckets around its own in the order of their
 estimated chance of holding a neighbour (the chance that a Gaussian step of the
 expected neighbour distance leads there from the query's place), until the chances
-add up to ``success``.  Candidates of all tables are merged and ranked by their exact
-distance in double precision.
+add up to ``success``.  Buckets are ``WIDTH`` neighbour distances wide, and with many
+functions as much wider as it takes for ``MOST_PROBES`` buckets to add up to that.  A
+query whose likeliest ``MOST_PROBES`` buckets do not, in any table, is compared with all
+rows instead.  Candidates of all tables are merged and ranked by their exact distance in
+double precision.
 
 k follows the number of vectors (about ``PER_BUCKET`` a bucket, one bucket for small
 tables); the neighbour distance is estimated on at most ``SAMPLE`` vectors.  Every row
@@ -37,15 +40,17 @@ from quillmart.llm.gridjoin import matrix_of, usable
 
 NEAREST = 10
 TABLES = 4
-WIDTH = 2.0  # in units of the neighbour distance
+WIDTH, WIDEST = 2.0, 64.0  # in units of the neighbour distance
 #: Chance to add up in each table, of the neighbours within the estimated distance.
 SUCCESS = 0.55
 #: Rows that a bucket holds on average, at least.
 PER_BUCKET = 200
 MOST_FUNCTIONS = 24
 SAMPLE = 2048
-#: Buckets that a query visits in a table, at most, however the chances add up.
+#: Buckets in a query's list for a table, at most; one that needs more is compared with all rows.
 MOST_PROBES = 4096
+#: Places at which a width is tried.
+PLACES = 64
 STEPS = np.arange(-3, 4)
 #: Rows of a block, probes of a block.
 ROWS, PROBES = 2048, 1024
@@ -60,12 +65,18 @@ def _below(z: np.ndarray) -> np.ndarray:
 class Hashes:
     """The hash functions of all tables for vectors of one length."""
 
-    def __init__(self, dim: int, functions: int, radius: float, tables: int = TABLES, seed: int = 11):
+    def __init__(self, dim: int, functions: int, radius: float, tables: int = TABLES, seed: int = 11, success: float = SUCCESS):
         rng = np.random.default_rng(seed)
-        self.radius, self.width = radius, max(WIDTH * radius, 1e-300)
+        self.radius, self.most = radius, MOST_PROBES
         self.a = rng.normal(size=(tables, dim, functions))
-        self.b = rng.uniform(0, self.width, (tables, functions))
+        shift = rng.uniform(0, 1, (tables, functions))
         self.odd = rng.integers(1, 1 << 62, functions, dtype=np.int64) * 2 + 1
+        places = rng.uniform(0, 1, (PLACES, functions))
+        for width in np.arange(WIDTH, WIDEST + 0.5, 0.5):
+            self.width = max(width * radius, 1e-300)
+            if self.likeliest(places)[0].sum(1).min() >= success:
+                break
+        self.b = shift * self.width
 
     def place(self, x: np.ndarray, t: int) -> np.ndarray:
         return (x @ self.a[t] + self.b[t]) / self.width
@@ -74,26 +85,27 @@ class Hashes:
         """One number per bucket (two buckets that share it are merely searched together)."""
         return (cells.astype(np.int64) * self.odd).sum(-1)
 
-    def probes(self, x: np.ndarray, t: int, success: float) -> tuple[np.ndarray, np.ndarray]:
-        """(query, bucket): the buckets each query visits, most likely first."""
-        q = self.place(x, t)
+    def likeliest(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(chance, bucket) of the ``most`` likeliest buckets of each place, most likely first."""
         base = np.floor(q)
-        if not q.shape[1]:
-            return np.arange(len(x)), np.zeros(len(x), np.int64)
         left = base[:, :, None] + STEPS - q[:, :, None]
         step = self.width / self.radius if self.radius else 1e300
         chance = _below((left + 1) * step) - _below(left * step)
-        score, code = np.ones((len(x), 1)), np.zeros((len(x), 1), np.int64)
+        score, code = np.ones((len(q), 1)), np.zeros((len(q), 1), np.int64)
         for i in range(q.shape[1]):  # the best products of i + 1 factors extend the best of i
             cells = (base[:, i, None] + STEPS).astype(np.int64) * self.odd[i]
-            score = (score[:, :, None] * chance[:, i, None, :]).reshape(len(x), -1)
-            code = (code[:, :, None] + cells[:, None, :]).reshape(len(x), -1)
-            if score.shape[1] > MOST_PROBES:
-                best = np.argpartition(-score, MOST_PROBES, 1)[:, :MOST_PROBES]
+            score = (score[:, :, None] * chance[:, i, None, :]).reshape(len(q), -1)
+            code = (code[:, :, None] + cells[:, None, :]).reshape(len(q), -1)
+            if score.shape[1] > self.most:
+                best = np.argpartition(-score, self.most, 1)[:, :self.most]
                 score, code = np.take_along_axis(score, best, 1), np.take_along_axis(code, best, 1)
         order = np.argsort(-score, 1, kind="stable")
-        score, code = np.take_along_axis(score, order, 1), np.take_along_axis(code, order, 1)
-        visit = np.cumsum(score, 1) - score < success
+        return np.take_along_axis(score, order, 1), np.take_along_axis(code, order, 1)
+
+    def probes(self, x: np.ndarray, t: int, success: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, bucket): the buckets each query visits, most likely first; none where they fall short of ``success``."""
+        score, code = self.likeliest(self.place(x, t))
+        visit = (np.cumsum(score, 1) - score < success) & (score.sum(1, keepdims=True) >= success)
         return np.nonzero(visit)[0], code[visit]
 
 
@@ -131,14 +143,16 @@ def _index(rows: DataFrame, hashes: Hashes) -> DataFrame:
 
 
 def _visits(queries: DataFrame, hashes: Hashes, success: float) -> DataFrame:
-    """(t, bucket, id, vector): every query at every bucket that it visits."""
+    """(t, bucket, id, vector): every query at every bucket that it visits; none of a query whose list falls short in any table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 64):
                 batch = whole.slice(k, 64)
                 x = matrix_of(batch.column("vector"))
-                for t in range(len(hashes.a)):
-                    query, bucket = hashes.probes(x, t, success)
+                lists = [hashes.probes(x, t, success) for t in range(len(hashes.a))]
+                reached = np.all([np.isin(np.arange(len(x)), query) for query, _ in lists], 0)
+                for t, (query, bucket) in enumerate(lists):
+                    query, bucket = query[reached[query]], bucket[reached[query]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(query), t, np.int32)), pa.array(bucket), *batch.take(pa.array(query)).columns],
                         ["t", "bucket", *batch.schema.names])
@@ -242,7 +256,7 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: in
         return df.sparkSession.createDataFrame([], "query long, rank int, id long, distance double")
     index, asks = (x.where(F.size("vector") == dim) for x in (index, asks))
     count = index.count()
-    hashes = Hashes(dim, functions_for(count), radius)
+    hashes = Hashes(dim, functions_for(count), radius, success=success)
     named = stored(asks.groupBy("vector").agg(F.min("id").alias("least")))
     members = asks.join(named, "vector").select("least", F.col("id").alias("member"))
     found = _ranked(_index(index, hashes), _visits(named.select(F.col("least").alias("id"), "vector"), hashes, success), k + 1)
@@ -250,7 +264,7 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: in
     found = stored(found)
     enough = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(k + 1, count)).select(F.col("query").alias("least"))
     lacking = named.join(enough, "least", "left_anti")
-    if not lacking.isEmpty():  # queries whose buckets hold too few: one bucket of all rows, in blocks
+    if not lacking.isEmpty():  # queries whose buckets hold too few or whose list fell short: one bucket of all rows, in blocks
         whole = [F.lit(0).alias("t"), F.lit(0).cast("long").alias("bucket")]
         found = found.union(_ranked(index.select(*whole, "id", "vector"), lacking.select(*whole, F.col("least").alias("id"), "vector"), k + 1))
         found = found.groupBy("query", "id").agg(F.min("distance").alias("distance"))

@@ -55,3 +55,30 @@ def test_probes_come_by_chance_and_reach_the_home_bucket_first():
         own = bucket[query == q]
         assert len(set(own.tolist())) == len(own)
         assert hashes.code(np.floor(hashes.place(x[q:q + 1], 0)))[0] in own
+
+
+def test_lists_add_up_with_many_functions():
+    rng = np.random.default_rng(4)
+    for functions in (14, 18):
+        hashes = annsearch.Hashes(32, functions, 1.0)
+        x = rng.normal(size=(20, 32))
+        reached = []
+        for t in range(annsearch.TABLES):
+            query, bucket = hashes.probes(x, t, annsearch.SUCCESS)
+            for q in np.unique(query):
+                step = rng.normal(size=(200, 32))
+                near = x[q] + step / np.sqrt((step * step).sum(1, keepdims=True))
+                reached.append(np.isin(hashes.code(np.floor(hashes.place(near, t))), bucket[query == q]).mean())
+        assert len(reached) >= 60 and np.mean(reached) >= annsearch.SUCCESS - 0.05
+
+
+def test_queries_with_cut_lists_meet_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(annsearch, "functions_for", lambda count: 18)
+    monkeypatch.setattr(annsearch, "WIDEST", annsearch.WIDTH, raising=False)  # no list adds up
+    rng = np.random.default_rng(5)
+    x = np.float32(rng.normal(size=(3000, 16)))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(3000)], "vec_id long, embedding array<float>")
+    got = annsearch.nearest(df, "vec_id", "embedding", F.col("vec_id") % 10 == 0).collect()
+    for q in range(0, 3000, 10):
+        own = [(r.id, r.distance) for r in sorted(got, key=lambda r: r.rank) if r.query == q]
+        assert own == brute(np.arange(3000), x.astype(float), q, 10)
