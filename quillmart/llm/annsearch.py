@@ -11,8 +11,8 @@ query whose likeliest ``MOST_PROBES`` buckets do not, in any table, is compared
 rows instead.  Candidates of all tables are merged and ranked by their exact distance in
 double precision.
 
-k follows the number of vectors (about ``PER_BUCKET`` a bucket, one bucket for small
-tables); the neighbour distance is estimated on at most ``SAMPLE`` vectors.  Every row
+k follows the number of vectors by one formula at every size (about ``PER_BUCKET`` a
+bucket); the neighbour distance is estimated on at most ``SAMPLE`` vectors.  Every row
 is indexed.  Of vectors that are equal, only the ``k`` + 1 smallest ids can be among
 the k nearest of anything, so the others stay out of the index, and equal queries are
 searched once; this loses nothing.  Buckets with many rows or probes are cut into
@@ -126,7 +126,7 @@ def estimate(rows: DataFrame, k: int, sample: int = SAMPLE) -> tuple[int, float]
 
 
 def functions_for(count: int) -> int:
-    return int(np.clip(round(np.log2(max(1, count) / PER_BUCKET)), 0, MOST_FUNCTIONS)) if count > 2000 else 0
+    return int(np.clip(round(np.log2(max(1, count) / PER_BUCKET)), 0, MOST_FUNCTIONS))
 
 
 def _index(rows: DataFrame, hashes: Hashes) -> DataFrame:

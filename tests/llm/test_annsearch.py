@@ -82,3 +82,8 @@ def test_queries_with_cut_lists_meet_all_rows(spark, monkeypatch):
     for q in range(0, 3000, 10):
         own = [(r.id, r.distance) for r in sorted(got, key=lambda r: r.rank) if r.query == q]
         assert own == brute(np.arange(3000), x.astype(float), q, 10)
+
+
+def test_one_formula_at_every_size():
+    sizes = [200, 400, 500, 1000, 2000, 2001, 4000, 10256, 51282]
+    assert [annsearch.functions_for(n) for n in sizes] == [round(np.log2(n / annsearch.PER_BUCKET)) for n in sizes]
