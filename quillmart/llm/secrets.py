@@ -2,8 +2,8 @@
 
 Strong spans (``assign``, ``access``, ``hex``) are found by pattern in every text and
 always kept.  Weak candidates (``user``: an account or client identifier; ``key``: a
-long mixed token; ``endpoint``: a URL or host with a port) are kept only where the
-parts of a credential come together: a user or an endpoint needs a secret part (an
+long mixed token; ``endpoint``: a URL, or an address or a host name of one or more
+labels with a port) are kept only where the parts of a credential come together: a user or an endpoint needs a secret part (an
 assignment, a hex run or a key) and a key needs an access part (an access id, a user
 or an endpoint) no more than ``REACH`` characters away in the same scope.  Scopes are
 the paragraphs of a text.  The link is an interval join: parts are keyed by document
@@ -36,10 +36,14 @@ BASE = {
 }
 #: The value of an assignment: what is left without its keyword, quotes, blanks and sign.
 ASSIGN_HEAD = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
+#: Where a host or scheme may begin: not inside a longer one, so that each run is tried once.
+RUN_START = r"(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.-])"
+# Runs are taken to their end, however long: no upper bounds but those of addresses and ports.
 WEAK = {
-    "user": r"""\b(?i:user(?:name)?|login|account|client_?id)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9_.@-]{3,64}""",
+    "user": r"""\b(?i:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""",
     "key": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}",
-    "endpoint": r"""\b(?:[a-z][a-z0-9+]{1,15}://[^\s"'<>]{4,200}|(?:[a-z0-9-]{1,63}\.){1,8}[a-z]{2,24}:[0-9]{2,5}\b)""",
+    "endpoint": RUN_START + r"""(?:[A-Za-z0-9_][A-Za-z0-9_+.-]*://[^\s"'<>]{4,}"""
+                r"""|(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|(?:[A-Za-z0-9_][A-Za-z0-9_.-]*\.)?[A-Za-z][A-Za-z0-9_-]*):[0-9]{2,5}\b)""",
 }
 #: What a key must hold besides: a lower-case and an upper-case letter and a digit.
 KEY_PARTS = ("[a-z]", "[A-Z]", "[0-9]")

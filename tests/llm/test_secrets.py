@@ -61,3 +61,20 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "user: bob42 token=abcdef")], "doc_id long, text string")
     for out in (secrets.scan(df, "doc_id", "text"), secrets.redact(df, "doc_id", "text")):
         assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_weak_runs_are_taken_to_their_end(spark):
+    url = "https://files.host.net/x?" + "&".join(f"p{i}=value{i}" for i in range(30)) + "&sig=Zm9vYmFy"
+    weak = [url, "user: " + "a1" * 50, "user" + " " * 9 + "=" + " " * 7 + "bob42", "10.0.0.12:5432", "localhost:5432", "db-1:5432",
+            "My.Db.node7:5432", ".".join(["part"] * 12) + ".host.net:5432", "a" * 70 + ".net:5432"]
+    assert len(url) > 275
+    docs = [(i, f"{w} token=abcdef") for i, w in enumerate(weak)]
+    plain = ["at 10:30 or 2024-01-01T10:30 or 1.5:30 or 1.2.3.4.5:30"]
+    docs += [(100 + i, f"{w} token=abcdef") for i, w in enumerate(plain)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.id: [tuple(s) for s in r.spans if s.kind >= len(secrets.BASE)] for r in secrets.scan(df, "doc_id", "text").collect()}
+    for i, w in enumerate(weak):
+        assert [s[:2] for s in found[i]] == [(0, len(w))], w
+    assert not found[100]
+    text = {r.doc_id: r.text for r in secrets.redact(df, "doc_id", "text").collect()}
+    assert all(text[i] == "[SECRET] [SECRET]" for i in range(len(weak)))
