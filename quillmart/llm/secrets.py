@@ -5,10 +5,10 @@ always kept.  Weak candidates (``user``: an account or client identifier; ``key`
 long mixed token; ``endpoint``: a URL, or an address or a host name of one or more
 labels with a port) are kept only where the parts of a credential come together: a user or an endpoint needs a secret part (an
 assignment, a hex run or a key) and a key needs an access part (an access id, a user
-or an endpoint) no more than ``REACH`` characters away in the same scope.  Scopes are
-the paragraphs of a text.  The link is an interval join: parts are keyed by document
-and by stretches of ``REACH`` characters, weak ones join the three stretches around
-them, and a semi join stops at the first partner, so no pairs are made.
+or an endpoint) that it does not overlap, however far away in the same scope.  Scopes
+are the paragraphs of a text.  The link is a semi join of the weak candidates with one
+row per scope, which says how early its secret and access parts end and how late they
+start, so no pairs are made.
 
 Positions are code points.  The pieces between a pattern's matches (split) and the
 matches themselves are measured in turn, which gives each match's start.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from quillmart.llm.common import checkpoint, table
 
-#: Characters between two parts of one credential, at most.
-REACH = 400
+#: Characters between two parts of one credential, at most: any number, their scope alone bounds them.
+REACH = float("inf")
 
 # The base patterns, in the order in which kinds are listed.
 BASE = {
@@ -98,23 +98,26 @@ def _places(spans: Column) -> Column:
     return F.transform(spans, lambda s: F.named_struct(F.lit("start"), s["start"], F.lit("end"), s["end"], F.lit("kind"), s["kind"]))
 
 
-def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
+def linked(found: DataFrame) -> DataFrame:
     """(id, th, more): the weak candidates that complementary parts confirm, by text."""
     parts = found.where(F.size("weak") > 0).select("id", "th", "breaks", F.explode(F.concat("base", "weak")).alias("s"))
     scope = F.size(F.filter("breaks", lambda b: b <= F.col("s.start")))
     parts = parts.select("id", "th", scope.alias("scope"), "s.start", "s.end", "s.kind").distinct()
-    parts = parts.withColumn("stretch", F.floor(F.col("start") / reach))
     secret = F.col("kind").isin([KINDS.index(k) for k in SECRET_PARTS])
     access = F.col("kind").isin([KINDS.index(k) for k in ACCESS_PARTS])
-    weak = parts.where(F.col("kind") >= len(BASE)).withColumn(
-        "near", F.explode(F.sequence(F.col("stretch") - 1, F.floor(F.col("end") / reach) + 1)))
-    others = parts.select(F.col("id").alias("o_id"), F.col("th").alias("o_th"), F.col("scope").alias("o_scope"),
-                          F.col("stretch").alias("o_stretch"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
-                          secret.alias("o_secret"))
-    gap = F.greatest(F.col("start") - F.col("o_end"), F.col("o_start") - F.col("end"))
-    met = weak.withColumn("wants", access).join(
-        others, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("th") == F.col("o_th")) & (F.col("scope") == F.col("o_scope"))
-        & (F.col("near") == F.col("o_stretch")) & (F.col("o_secret") == F.col("wants")) & gap.between(0, reach), "left_semi")
+    # A part that ends before a candidate or starts after it exists if the first to end or the last to start does.
+    ends = [f(F.when(side, F.col(c))).alias(f"{name}_{c}") for name, side in (("secret", secret), ("access", access))
+            for f, c in ((F.min, "end"), (F.max, "start"))]
+    scopes = parts.groupBy(F.col("id").alias("o_id"), F.col("th").alias("o_th"), F.col("scope").alias("o_scope")).agg(*ends)
+    scopes = scopes.where(F.col("secret_end").isNotNull() & F.col("access_end").isNotNull())
+
+    def apart(name: str) -> Column:
+        return (F.col(f"{name}_end") <= F.col("start")) | (F.col(f"{name}_start") >= F.col("end"))
+
+    weak = parts.where(F.col("kind") >= len(BASE))
+    met = weak.join(
+        scopes, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("th") == F.col("o_th")) & (F.col("scope") == F.col("o_scope"))
+        & F.when(access, apart("secret")).otherwise(apart("access")), "left_semi")
     return met.groupBy("id", "th").agg(F.collect_set(F.struct("start", "end", "kind")).alias("more"))
 
 

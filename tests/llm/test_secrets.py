@@ -78,3 +78,15 @@ def test_weak_runs_are_taken_to_their_end(spark):
     assert not found[100]
     text = {r.doc_id: r.text for r in secrets.redact(df, "doc_id", "text").collect()}
     assert all(text[i] == "[SECRET] [SECRET]" for i in range(len(weak)))
+
+
+def test_parts_link_across_a_whole_scope(spark):
+    lines = "\n".join(f"line {i} of a long block" for i in range(200))
+    first, last, key = "user: bob42", "password = hunter22", "aB3" * 12
+    texts = [f"{first}\n{lines}\n{last}", f"{last}\n{lines}\nhttps://a.b.net/x", f"{key}\n{lines}\ndb.host.net:5432",
+             f"{first}\n{lines}\n\n{last}", "see https://a.b.net/x?token=abcdefg"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = {r.id: sorted(secrets.KINDS[s.kind] for s in r.spans) for r in secrets.scan(df, "doc_id", "text").collect()}
+    assert names == {0: ["assign", "user"], 1: ["assign", "endpoint"], 2: ["endpoint", "key"], 3: ["assign"], 4: ["assign"]}
+    clean = secrets.redact(df, "doc_id", "text").where("doc_id = 0").first().text
+    assert clean == f"[SECRET]\n{lines}\n[SECRET]"
