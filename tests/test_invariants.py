@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quillmart.operators.sync import values_equal
 from quillmart.plans.marts import ADHERENCE_MART_COLUMNS, BRAND_COLUMNS, ITEM_MART_COLUMNS
 from quillmart.plans.registry import QUERIES

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quillmart.plans.registry import QUERIES, RUN_QUERY_TEXT, fixtures
 from quillmart.session import scratch_dir
 from quillmart.sources.query import run_query

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quillmart.plans.job import ADHERENCE_MART, ITEM_MART, build_marts
 from quillmart.plans.registry import QUERIES, fixtures, params, sources
 from quillmart.session import scratch_dir

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quillmart.plans.registry import QUERIES
 from quillmart.sources.catalog import RAW_TABLES
 

@@ -1,6 +1,6 @@
 """Plan shape: semi-join, one attribute scan, no Python UDF, one wide shuffle."""
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from quillmart.plans.registry import QUERIES
 
 

@@ -70,7 +70,7 @@ def test_attribute_pivot_null_newest_and_null_version(spark):
 def test_tied_versions_enrichment_stays_consistent(spark):
     from quillmart.operators.items import item_base
     from quillmart.plans.registry import fixtures, params, sources
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     src = sources(fixtures(spark, SF_SMALL))
     # every version of an item now ties on (upserted_at, version_id)
     tied = src.task.withColumn("upserted_at", F.lit(dt.datetime(2000, 1, 1))).withColumn("version_id", F.lit(0))
@@ -85,7 +85,7 @@ def test_tied_versions_enrichment_stays_consistent(spark):
 def test_null_item_id_keeps_people_but_no_fields_or_projects(spark):
     from quillmart.operators.items import denormalize_items
     from quillmart.plans.registry import fixtures, params, sources
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     src = sources(fixtures(spark, SF_SMALL))
     # items 0..9 lose their id: they form one NULL-id group with one newest version
     src.task = src.task.withColumn("gid", F.when(F.col("gid") < 10, F.lit(None)).otherwise(F.col("gid")))
