@@ -27,10 +27,11 @@ compares as raw text of the same kind.
 
 Divergences kept on purpose: NaN equals NaN (null-safe semantics), so a float
 NULL does not look changed on every run; whole numbers compare exactly, not as
-doubles, so ids beyond 2^53 stay apart.  JSON objects that repeat a key compare
-as raw text, JSON numbers written with and without an exponent differ, and two
-JSON texts that only swap which of two equal numbers is a fraction (1 and 1.0)
-count as equal.
+doubles, so ids beyond 2^53 stay apart.
+
+JSON compares place by place: every number keeps its path and its kind, and of a key
+that an object repeats the last value counts (``spark.sql.variant.allowDuplicateKeys``,
+which ``apply_query_conf`` sets; without it such a text compares as raw text).
 
 Writes never lose data silently: keys of another kind than the stored column's,
 and values that the stored type cannot hold, raise.  Column names that differ
@@ -103,8 +104,8 @@ def align_names(incoming: DataFrame, target: DataFrame | None) -> DataFrame:
 
 # ---------------------------------------------------------------- equality --
 
-# Numbers in JSON text; strings match first and leave the group empty.
-JSON_NUMBERS = r'"(?:[^"\\]|\\.)*"|(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)'
+# Strings and numbers of JSON text.  Possessive, so that long strings neither backtrack nor recurse.
+JSON_TOKENS = r'"(?:[^"\\]++|\\.)*+"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?'
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 _STAMPS = (T.TimestampType, T.TimestampNTZType)
 
@@ -120,8 +121,8 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
     """One comparable token per value (NULL for NULL): a struct (kind, number, whole, text).
 
     kind ``n`` with the exact whole number, or else the double, for booleans (1/0),
-    numbers and numeric text; ``j`` with the JSON text re-serialised with sorted keys
-    and the typed numbers in it; ``d`` with a timestamp's UTC text; ``t`` with the text
+    numbers and numeric text; ``j`` with the JSON text re-serialised with sorted keys,
+    where every scalar says its kind in its own place; ``d`` with a timestamp's UTC text; ``t`` with the text
     otherwise; ``o:<type>`` with the text form for other types.  Two values are equal
     when their tokens are equal (NULL = NULL).
     """
@@ -135,11 +136,16 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
         whole = F.when(x == F.rint(x), x.try_cast("decimal(38,0)"))
         return F.when(whole.isNotNull(), tok("n", whole=whole)).otherwise(tok("n", num=x))
 
-    def json(text: Column, parsed: Column):
-        kinds = F.transform(F.filter(F.regexp_extract_all(text, F.lit(JSON_NUMBERS), F.lit(1)), lambda x: x != ""),
-                            lambda x: F.when(x.rlike("[.eE]"), F.concat(F.lit("f"), x.cast("double").cast("string")))
-                            .otherwise(F.concat(F.lit("i"), x)))
-        return tok("j", text=F.concat_ws("\n", F.to_json(parsed), F.array_join(F.array_sort(kinds), ",")))
+    def json(text: Column):
+        """Token of JSON text: strings become "s...", numbers "i..." or "f...", each where it stands, then keys are sorted."""
+        typed = F.transform(
+            F.regexp_extract_all(text, F.lit(JSON_TOKENS), F.lit(0)),
+            lambda x: F.when(x.startswith('"'), F.concat(F.lit('"s'), F.substr(x, F.lit(2))))
+            .when(x.rlike("[.eE]"), F.concat(F.lit('"f'), x.cast("double").cast("string"), F.lit('"')))
+            .otherwise(F.concat(F.lit('"i'), F.when(x == "-0", F.lit("0")).otherwise(x), F.lit('"'))))
+        gaps = F.split(text, JSON_TOKENS, -1)
+        placed = F.array_join(F.zip_with(gaps, typed, lambda g, x: F.concat(g, F.coalesce(x, F.lit("")))), "")
+        return tok("j", text=F.to_json(F.try_parse_json(placed)))
 
     if isinstance(dtype, T.BooleanType):
         return F.when(c.isNotNull(), tok("n", whole=c.cast("int")))
@@ -155,7 +161,7 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
         return F.when(c.isNotNull(), tok("t", text=c))
     if isinstance(dtype, _NESTED):
         text = json_encode(c, dtype)
-        return F.when(c.isNotNull(), json(text, F.try_parse_json(text)))
+        return F.when(c.isNotNull(), json(text))
     if isinstance(dtype, T.StringType):
         low = F.lower(c)
         parsed = F.try_parse_json(c)
@@ -166,7 +172,7 @@ def canonical(c: Column, dtype: T.DataType) -> Column:
         return (F.when(c.isNull(), F.lit(None))
                 .when(low == "true", tok("n", whole=F.lit(1)))
                 .when(low == "false", tok("n", whole=F.lit(0)))
-                .when((c.startswith("{") | c.startswith("[")) & parsed.isNotNull(), json(c, parsed))
+                .when((c.startswith("{") | c.startswith("[")) & parsed.isNotNull(), json(c))
                 .when(double.isNotNull() & c.rlike(NUMERIC_TEXT),
                       F.when(whole.isNotNull(), tok("n", whole=whole)).otherwise(number(double)))
                 .otherwise(tok("t", text=c)))
@@ -231,7 +237,9 @@ def _matched(target: DataFrame, incoming: DataFrame, key: str, synced_col: str,
     old = evolved.select(F.col(key).alias("__key"), ok_old.alias("__hit"),
                          *[F.col(c).alias(f"__old_{c}") for c in tt if c != key])
     new = inc.select(*ti, ok_in.alias("__in"))
-    j = new.join(old, F.col(key) == F.col("__key"), "full_outer")
+    # Comparing costs more than moving rows: by the key's partitions it runs on every
+    # core, where a broadcast would leave it to the few tasks that scan a small batch.
+    j = new.join(old.hint("merge"), F.col(key) == F.col("__key"), "full_outer")
     j = j.withColumn(key, F.coalesce(key, "__key")).drop("__key")
     both = F.col("__in").isNotNull() & F.col("__hit").isNotNull()
     j = j.select("*", *[(both & ~values_equal(F.col(f"__old_{c}"), tt[c], F.col(c), ti[c])).alias(f"__chg_{c}") for c in cols])
@@ -259,27 +267,16 @@ def classify_changes(target: DataFrame, incoming: DataFrame, key: str,
 def cell_diff(target: DataFrame, incoming: DataFrame, key: str, synced_col: str = SYNCED_AT) -> DataFrame:
     """Long form (key, column_name, existing_value, new_value) of changed cells
     of updated rows; values rendered as text."""
-    # Rows with a stored match; exploding the (possibly empty) list of changed
-    # columns keeps exactly the updated cells.
-    m = _matched(target, incoming, key, synced_col).filter(F.col("__hit") & F.col("__in"))
     inc = align_names(incoming, target)
     cols, ti = _compared(inc, key, synced_col), _types(inc)
-    m = m.select(key, *[F.col(f"__old_{c}").cast("string").alias(f"__o_{c}") for c in cols],
-                 *[json_encode(F.col(c), ti[c]).cast("string").alias(f"__n_{c}") for c in cols],
-                 # explode_outer + NULL filter: plain explode makes the optimizer
-                 # infer size(__changed) > 0 below it, which evaluates every
-                 # comparison a second time inside the join condition
-                 F.explode_outer("__changed").alias("column_name")
-                 ).filter(F.col("column_name").isNotNull())
-    name = F.col("column_name")
-
-    def pick(prefix: str) -> Column:
-        out = F.lit(None).cast("string")
-        for c in cols:
-            out = F.when(name == c, F.col(f"{prefix}{c}")).otherwise(out)
-        return out
-
-    return m.select(key, "column_name", pick("__o_").alias("existing_value"), pick("__n_").alias("new_value"))
+    m = _matched(target, incoming, key, synced_col).filter(F.col("__hit") & F.col("__in"))
+    # One struct per changed cell: texts are made for changed cells only.
+    cells = F.array_compact(F.array(*[
+        F.when(F.col(f"__chg_{c}"), F.struct(F.lit(c).alias("column_name"), F.col(f"__old_{c}").cast("string").alias("existing_value"),
+                                             json_encode(F.col(c), ti[c]).cast("string").alias("new_value"))) for c in cols]))
+    # explode_outer + NULL filter: plain explode makes the optimizer infer size(cells) > 0
+    # below it, which evaluates every comparison a second time inside the join condition.
+    return m.select(key, F.explode_outer(cells).alias("cell")).filter(F.col("cell").isNotNull()).select(key, "cell.*")
 
 
 def upsert_summary(classified: DataFrame) -> DataFrame:

@@ -219,8 +219,9 @@ PEOPLE_FROM = """FROM task t
   LEFT JOIN usr AS completed_by ON t.task_completed_by = completed_by.gid AND completed_by.rn = 1"""
 
 # ---- upsert equality in DuckDB ------------------------------------------------
-NUM_RE = (r"(?i)\s*[+-]?(?:(?:\d(?:_?\d)*)?\.\d(?:_?\d)*(?:e[+-]?\d(?:_?\d)*)?"
-          r"|\d(?:_?\d)*\.?(?:e[+-]?\d(?:_?\d)*)?|inf(?:inity)?|nan)\s*")
+#: Numeric text by DuckDB's own parser; an underscore stands between two digits only.
+IS_NUM = ("(TRY_CAST(replace(trim({x}), '_', '') AS DOUBLE) IS NOT NULL "
+          "AND NOT regexp_matches({x}, '(^|[^0-9])_|_([^0-9]|$)'))")
 
 
 def canon(x: str, kind: str) -> tuple[str, str, str]:
@@ -231,7 +232,7 @@ def canon(x: str, kind: str) -> tuple[str, str, str]:
         return (f"CASE WHEN {x} IS NOT NULL THEN 'num' END", f"CAST({x} AS DOUBLE)", "NULL")
     is_bool = f"lower({x}) IN ('true', 'false')"
     is_json = f"(starts_with({x}, '{{') OR starts_with({x}, '[')) AND json_valid({x})"
-    is_num = f"regexp_full_match({x}, '{NUM_RE}')"
+    is_num = IS_NUM.format(x=x)
     k = (f"CASE WHEN {x} IS NULL THEN NULL WHEN {is_bool} THEN 'bool' WHEN {is_json} THEN 'json' "
          f"WHEN {is_num} THEN 'num' ELSE 'text' END")
     n = (f"CASE WHEN {is_bool} THEN CAST(lower({x}) = 'true' AS DOUBLE) "
@@ -242,11 +243,20 @@ def canon(x: str, kind: str) -> tuple[str, str, str]:
     return k, n, t
 
 
+def json_paths(x: str) -> str:
+    """(path, type, value) of every node of JSON text; of a repeated key the last."""
+    return (f"(SELECT list((fullkey, type, atom) ORDER BY fullkey) FROM (SELECT fullkey, arg_max(type, id) AS type, "
+            f"arg_max(CASE WHEN type = 'DOUBLE' THEN CAST(CAST(atom AS DOUBLE) AS VARCHAR) ELSE CAST(atom AS VARCHAR) END, id) AS atom "
+            f"FROM json_tree({x}) GROUP BY fullkey))")
+
+
 def list_text(x: str) -> str:
     return f"CAST(to_json({x}) AS VARCHAR)"
 
 
 def equal_sql(a: str, at: str, b: str, bt: str) -> str:
+    if at == "paths":
+        return f"({json_paths(a)} IS NOT DISTINCT FROM {json_paths(b)})"
     if at == "own":
         return f"({a} IS NOT DISTINCT FROM {list_text(b) if bt == 'list' else b})"
     ka, na, ta = canon(a, at)
@@ -260,11 +270,11 @@ def equal_sql(a: str, at: str, b: str, bt: str) -> str:
 
 
 # incoming column -> (stored type, incoming type); priority is new (stored NULL string).
-# The last three state what the rule must give for them, not the rule itself: whole
-# numbers exactly, JSON 1 and 1.0 apart, a list equal to its stored JSON text.
+# big and tags state what the rule must give for them, not the rule itself: whole numbers
+# exactly, a list equal to its stored JSON text.  rate compares the nodes of its JSON.
 SYNC_COLS = [("status", "str", "str"), ("price", "num", "num"), ("code", "str", "str"),
              ("flag", "bool", "str"), ("payload", "str", "str"), ("priority", "str", "str"),
-             ("big", "own", "own"), ("rate", "own", "own"), ("tags", "own", "list")]
+             ("big", "own", "own"), ("rate", "paths", "paths"), ("tags", "own", "list")]
 
 
 def sync_with() -> str:

@@ -62,7 +62,7 @@ from {orders} join {customer} on o_custkey=c_custkey""",
     "f_workers": """
 select case when c_custkey%2=0 then '' else 'other-' end || lower(c_name) || '@example.com' as work_email_address_copy,
   case when c_custkey%10=0 then '[null]' when c_custkey%10=2 then '[]'
-       when c_custkey%10=4 then '[{{"a":1}}]' else '["' || n_name || '"]' end as manager_name,
+       when c_custkey%10=4 then '[{{"a":1}}]' when c_custkey%10=6 then '["' || n_name || '",{{"a":1,"a":2}}]' else '["' || n_name || '"]' end as manager_name,
   '["' || r_name || '"]' as director_name
 from {customer} join {nation} on c_nationkey=n_nationkey join {region} on n_regionkey=r_regionkey
 union all
@@ -98,7 +98,7 @@ select o_orderkey + case when o_orderkey%10=0 then 1000000000 else 0 end as ref_
   cast(o_custkey as string) as code, o_orderkey%2=0 as flag,
   case when o_orderkey%13=0 then cast(null as string)
        else '{{"a": 1, "b": ' || cast(o_orderkey%5 as string) || '}}' end as payload,
-  o_orderkey + 9007199254740992 as big, '{{"r":1}}' as rate,
+  o_orderkey + 9007199254740992 as big, '{{"r":1,"q":1.0}}' as rate,
   '["' || o_orderstatus || '",null]' as tags,
   {TS} '2001-09-01 00:00:00' as synced_at
 from {orders}""",
@@ -111,7 +111,8 @@ select o_orderkey + case when o_orderkey%10=1 then 2000000000 else 0 end as ref_
        else '{{"b":' || cast(o_orderkey%5 as string) || ',"a":1}}' end as payload,
   case when o_orderkey%17=0 then o_orderpriority end as priority,
   o_orderkey + 9007199254740992 + case when o_orderkey%19=0 then 1 else 0 end as big,
-  case when o_orderkey%23=0 then '{{"r":1.0}}' else '{{"r":1}}' end as rate,
+  case when o_orderkey%23=0 then '{{"r":1.0,"q":1}}' when o_orderkey%29=0 then '{{"r":7,"q":1.0,"r":1}}'
+       when o_orderkey%37=0 then '{{"q":1.00, "r":1}}' else '{{"r":1,"q":1.0}}' end as rate,
   {LIST(case when o_orderkey%31=0 then 'new' else o_orderstatus end, cast(null as string))} as tags
 from {orders}""",
 }
