@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmart.functions.scalars import coerce_bool, json_encode
+from quillmart.sources.versions import BUCKET
 
 SYNCED_AT = "_synced_at"
 SYNC_TYPES = {
@@ -190,6 +191,21 @@ def values_equal(a: Column, a_type: T.DataType, b: Column, b_type: T.DataType) -
     return full
 
 
+DIGEST = "__row_digest"
+
+
+def row_digest(types: dict[str, T.DataType], value=F.col) -> Column:
+    """One long for a row: equal rows (by ``values_equal``, column by column) have equal digests.
+
+    NULLs add nothing, so a column that a table gains leaves its rows' digests as they are.
+    """
+    out = F.lit(0).cast("long")
+    for c, dtype in types.items():
+        one = F.xxhash64(F.lit(c.lower()), canonical(value(c), dtype))
+        out = out.bitwiseXOR(F.when(value(c).isNotNull(), one).otherwise(F.lit(0).cast("long")))
+    return out
+
+
 # ------------------------------------------------------------ classification --
 
 def _types(df: DataFrame) -> dict[str, T.DataType]:
@@ -213,35 +229,55 @@ def _same_key(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     return incoming.withColumn(key, F.col(key).cast(stored)) if stored != given else incoming
 
 
-def _once(df: DataFrame, key: str, what: str) -> DataFrame:
+def _once(df: DataFrame, key: str, what: str, within: Sequence[str] = ()) -> DataFrame:
     """``df``, raising where ``key`` is NULL or repeated (by the partitioning that the join uses)."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*within, key))
     said = F.concat(F.lit(f"{what}: key '{key}' must be unique and non-NULL; e.g. "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
     bad = F.col(key).isNull() | (F.col("__n") > 1)
     return df.withColumn("__n", n).withColumn("__ok", F.when(bad, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))).drop("__n")
 
 
-def _matched(target: DataFrame, incoming: DataFrame, key: str, synced_col: str, validate: bool = False) -> DataFrame:
+def _matched(target: DataFrame, incoming: DataFrame, key: str, synced_col: str, validate: bool = False,
+             bucketed: tuple[Column, int] | None = None) -> DataFrame:
     """All keys of batch and target in one full outer join: the incoming row, the
     stored row's columns (``__old_*``), per-column ``__chg_*`` flags, ``__action`` of
-    insert/update/unchanged/keep and ``__changed`` (changed column names)."""
+    insert/update/unchanged/keep and ``__changed`` (changed column names).
+
+    A target with a ``DIGEST`` column is compared by it first, if the batch has all of
+    its columns.  ``bucketed`` (bucket of the key, number of partitions) deals both
+    sides by the buckets of the table instead of by key, so that a bucket's rows end up
+    in one task, which then writes one file for it."""
     inc = align_names(incoming, target)
     inc = _same_key(target, inc.drop(synced_col) if synced_col in inc.columns else inc, key)
     evolved = evolve_schema(target, inc, synced_col)
     cols = _compared(inc, key, synced_col)
     ti, tt = _types(inc), _types(evolved)
+    stored = [c for c in target.columns if c not in (key, synced_col, DIGEST)]
+    by_digest = DIGEST in tt and set(stored) <= set(cols)
+    within, deal = [], {}
+    if bucketed:
+        within = [BUCKET]
+        inc, evolved = (df.withColumn(BUCKET, bucketed[0]).repartition(bucketed[1], BUCKET) for df in (inc, evolved))
+        deal = {"in": [F.col(BUCKET)], "old": [F.col(BUCKET).alias("__old_bucket")]}
     ok_in, ok_old = F.lit(True), F.lit(True)
     if validate:
-        inc, evolved = _once(inc, key, "incoming"), _once(evolved, key, "target")
+        inc, evolved = _once(inc, key, "incoming", within), _once(evolved, key, "target", within)
         ok_in, ok_old = F.col("__ok"), F.col("__ok")
-    old = evolved.select(F.col(key).alias("__key"), ok_old.alias("__hit"),
+    old = evolved.select(F.col(key).alias("__key"), ok_old.alias("__hit"), *deal.get("old", []),
                          *[F.col(c).alias(f"__old_{c}") for c in tt if c != key])
-    new = inc.select(*ti, ok_in.alias("__in"))
+    new = inc.select(*ti, ok_in.alias("__in"), *deal.get("in", []))
     # Comparing costs more than moving rows: by the key's partitions it runs on every
     # core, where a broadcast would leave it to the few tasks that scan a small batch.
-    j = new.join(old.hint("merge"), F.col(key) == F.col("__key"), "full_outer")
-    j = j.withColumn(key, F.coalesce(key, "__key")).drop("__key")
+    on = F.col(key) == F.col("__key")
+    if bucketed:
+        on = (F.col(BUCKET) == F.col("__old_bucket")) & on
+    j = new.join(old.hint("merge"), on, "full_outer").withColumn(key, F.coalesce(key, "__key")).drop("__key")
+    if bucketed:
+        j = j.withColumn(BUCKET, F.coalesce(BUCKET, "__old_bucket")).drop("__old_bucket")
     both = F.col("__in").isNotNull() & F.col("__hit").isNotNull()
+    if by_digest:
+        j = j.withColumn("__digest", row_digest({c: ti[c] for c in cols}))
+        both = both & ~F.col(f"__old_{DIGEST}").eqNullSafe(F.col("__digest"))
     j = j.select("*", *[(both & ~values_equal(F.col(f"__old_{c}"), tt[c], F.col(c), ti[c])).alias(f"__chg_{c}") for c in cols])
     any_chg = F.lit(False)
     for c in cols:
@@ -310,28 +346,45 @@ def _write_value(c: Column, src_type: T.DataType, dst_type: T.DataType, name: st
 ACTION = "__action"
 
 
+def _same_token(given: T.DataType, stored: T.DataType) -> bool:
+    """Whether a value keeps its token when it is stored (text parsed into a timestamp doesn't)."""
+    return given == stored or isinstance(stored, (T.StringType, T.NumericType, T.BooleanType)) or (
+        isinstance(given, _STAMPS) and isinstance(stored, _STAMPS))
+
+
 def upsert_rows(target: DataFrame | None, incoming: DataFrame, key: str, as_of, synced_col: str = SYNCED_AT,
-                validate: bool = False) -> DataFrame:
-    """The table after the upsert, with each row's action in ``__action``."""
+                validate: bool = False, bucketed: tuple[Column, int] | None = None) -> DataFrame:
+    """The table after the upsert, with each row's action in ``__action``.
+
+    A target with a ``DIGEST`` column comes out with the digests of its new rows."""
     incoming = align_names(incoming, target)
     inc = incoming.drop(synced_col) if synced_col in incoming.columns else incoming
     evolved = evolve_schema(target, inc, synced_col)
     tt, ti = _types(evolved), _types(inc)
     stamp = F.lit(as_of).cast(tt[synced_col])
-    m = _matched(evolved, inc, key, synced_col, validate)
-    action = F.col(ACTION)
+    m = _matched(evolved, inc, key, synced_col, validate, bucketed)
+    by_digest = "__digest" in m.columns and all(_same_token(ti[c], tt[c]) for c in ti if c != key)
+    action, fresh = F.col(ACTION), F.col(ACTION).isin("insert", "update")
     out = []
     for c in evolved.columns:
-        if c == key:
+        if c == DIGEST:
+            # What is written equals what was given, so the batch's digest is the new row's.
+            new = F.col("__digest") if by_digest else F.lit(None)
+            out.append(F.when(fresh, new).otherwise(F.col(f"__old_{c}")).alias(c))
+        elif c == key:
             out.append(F.col(key))
         elif c == synced_col:
-            out.append(F.when(action.isin("insert", "update"), stamp).otherwise(F.col(f"__old_{c}")).alias(c))
+            out.append(F.when(fresh, stamp).otherwise(F.col(f"__old_{c}")).alias(c))
         elif c in ti:
             new = _write_value(F.col(c), ti[c], tt[c], c)
             out.append(F.when((action == "insert") | F.col(f"__chg_{c}"), new).otherwise(F.col(f"__old_{c}")).alias(c))
         else:
             out.append(F.col(f"__old_{c}").alias(c))
-    return m.select(*out, ACTION)
+    rows = m.select(*out, ACTION, *([BUCKET] if bucketed else []))
+    if DIGEST not in tt or by_digest:
+        return rows
+    valued = {c: t for c, t in tt.items() if c not in (key, synced_col, DIGEST)}
+    return rows.withColumn(DIGEST, F.coalesce(DIGEST, row_digest(valued)))
 
 
 def apply_upsert(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
@@ -340,34 +393,6 @@ def apply_upsert(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
     return upsert_rows(target, incoming, key, as_of, synced_col).drop(ACTION)
 
 
-def check_unique_keys(df: DataFrame, key: str, what: str) -> None:
-    """Raise if ``key`` is NULL or repeated in ``df`` (one bounded action)."""
-    bad = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col(key).isNull() | (F.col("n") > 1)).limit(1).collect())
-    if bad:
-        raise ValueError(f"{what}: key {key!r} must be unique and non-NULL; e.g. {bad[0][key]!r}")
-
-
-def sync_frames(target: DataFrame | None, incoming: DataFrame, key: str, as_of,
-                synced_col: str = SYNCED_AT, validate: bool = True,
-                dedupe_order: Sequence | None = None) -> tuple[DataFrame, DataFrame]:
-    """(new table, per-action counts) for one upsert.
-
-    Keys must be unique and non-NULL.  With ``dedupe_order`` the incoming batch
-    is first reduced to its newest row per key by that order (descending,
-    NULLs last); otherwise duplicates raise.  NULL keys always raise.
-    """
-    if dedupe_order is not None:
-        from quillmart.operators.versions import latest_version
-        incoming = latest_version(incoming, [key], dedupe_order)
-    if validate:
-        check_unique_keys(incoming, key, "incoming")
-        if target is not None:
-            check_unique_keys(target, key, "target")
-    rows = upsert_rows(target, incoming, key, as_of, synced_col)
-    return rows.drop(ACTION), upsert_summary(rows.withColumnRenamed(ACTION, "action"))
-
-
 def json_encoded(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Nested columns rendered as JSON text (what the upsert stores in STRING columns)."""
     t = _types(df)

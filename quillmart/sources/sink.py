@@ -1,144 +1,85 @@
-"""Partitioned mart writes and versioned snapshot tables.
+"""Partitioned mart writes.
 
 ``write_mart`` is the full-refresh, day-partitioned, clustered table of the job;
-``publish_mart`` writes it as a new version so a failed run never leaves a
-half-written or missing mart.
+``publish_mart`` writes it as a new version (see ``versions``) so a failed run never
+leaves a half-written or missing mart, and two runs at once never mix.
 Rows are range-partitioned on (day, clustering columns, row hash) so one heavy
 day -- even one heavy (day, cluster values) group -- is split across many
 tasks instead of landing in one, and each task writes sorted
 files whose row-group min/max statistics serve the clustering columns.
 
-``SnapshotTable`` keeps each upsert result as a new folder ``v=<n>`` and reads
-the newest *complete* one (it has our ``_COMMITTED`` marker, written after the
-data, independent of the committer's optional ``_SUCCESS`` file), so a failed or half-written
-run never replaces the current data and a path is never overwritten while read.
+The last clustering column has a value of its own in almost every row, and sorting by
+the ones before it spreads its values over all row groups.  Bloom filters per row group
+make a look-up by it read only the row groups that may hold it.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmart.sources.versions import SnapshotTable
+
+__all__ = ["SnapshotTable", "publish_mart", "read_mart", "write_mart"]
+
 DAY_COL = "__day"
-# Written after a version's data is complete; readers ignore folders without it.
-COMMIT_MARKER = "_COMMITTED"
+#: Distinct values that a row group's bloom filter is sized for (about 1.2 bytes each).
+BLOOM_VALUES = 1_000_000
 
 
 def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequence[str],
                num_partitions: int | None = None, max_records_per_file: int = 5_000_000,
-               mode: str = "overwrite") -> None:
+               mode: str = "overwrite", point_columns: Sequence[str] | None = None) -> None:
     """Overwrite ``path`` with ``df`` partitioned by ``DATE(partition_source)``.
 
     NULL days go to the default partition.  The derived day column is a
-    folder name only; ``read_mart`` drops it.
+    folder name only; ``read_mart`` drops it.  ``point_columns`` (the last clustering
+    column by default) get bloom filters.
     """
     keyed = df.withColumn(DAY_COL, F.to_date(F.col(partition_source)))
     order = [F.col(DAY_COL)] + [F.col(c) for c in cluster]
     # A row hash last in the range key splits a (day, cluster values) group
     # that holds a large share of all rows; identical keys alone cannot be split.
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    points = cluster[-1:] if point_columns is None else point_columns
+    bloom = {f"parquet.bloom.filter.{what}#{c}": value for c in points
+             for what, value in (("enabled", "true"), ("expected.ndv", str(min(BLOOM_VALUES, max_records_per_file))))}
     # Without a fixed number of partitions, adaptive execution sizes them.
     (keyed.repartitionByRange(*([num_partitions] if num_partitions else []), *order, spread)
      .sortWithinPartitions(*order)
      .write.mode(mode)
-     .option("maxRecordsPerFile", max_records_per_file)
+     .option("maxRecordsPerFile", max_records_per_file).options(**bloom)
      .partitionBy(DAY_COL)
      .parquet(path))
 
 
 def publish_mart(df: DataFrame, base: str, partition_source: str, cluster: Sequence[str],
                  num_partitions: int | None = None) -> str:
-    """Full refresh as a new immutable version ``<base>/v=<n>``; returns its path.
+    """Full refresh as a new version; returns the folder of its data.
 
     Readers (``read_mart``) switch to it only once it is complete, so a run
     that fails mid-write leaves the previous version in place -- the atomic
     replace the job's CREATE OR REPLACE TABLE gives.
     """
     table = SnapshotTable(df.sparkSession, base)
-    path = table.next_path()
-    write_mart(df, path, partition_source, cluster, num_partitions, mode="errorifexists")
-    table.mark_committed(path)
-    return path
+    name = table.attempt()
+    write_mart(df, f"{table.base}/{name}", partition_source, cluster, num_partitions, mode="errorifexists")
+    table.publish(name, df.schema)
+    return f"{table.base}/{name}"
 
 
 def read_mart(spark: SparkSession, path: str, days: tuple | None = None) -> DataFrame:
     """A mart written by ``write_mart`` (a folder) or ``publish_mart`` (its base:
-    the newest complete version is read).
+    the newest version is read).
 
     ``days`` (first, last: dates or ISO texts, either may be None) reads only the
     folders of those days.
     """
-    v = SnapshotTable(spark, path).versions()
-    target = f"{path.rstrip('/')}/v={v[-1]:06d}" if v else path
-    mart = spark.read.parquet(target)
+    entry = SnapshotTable(spark, path).entry()
+    mart = spark.read.parquet(f"{path.rstrip('/')}/{entry['parts']['all']}" if entry else path)
     for bound, keep in zip(days or (), (F.col(DAY_COL).__ge__, F.col(DAY_COL).__le__)):
         if bound is not None:
             mart = mart.where(keep(F.lit(str(bound)).cast("date")))
     return mart.drop(DAY_COL)
-
-
-class SnapshotTable:
-    """A table stored as numbered, immutable snapshot folders under ``base``."""
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark = spark
-        self.base = base.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.base)
-        return p.getFileSystem(conf), jvm
-
-    def _folders(self) -> dict[int, bool]:
-        """Number -> whether it is complete, of all version folders."""
-        fs, jvm = self._fs()
-        root = jvm.org.apache.hadoop.fs.Path(self.base)
-        out = {}
-        for st in fs.listStatus(root) if fs.exists(root) else []:
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                out[int(name[2:])] = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), COMMIT_MARKER))
-        return out
-
-    def versions(self) -> list[int]:
-        return sorted(v for v, complete in self._folders().items() if complete)
-
-    def next_path(self) -> str:
-        """The folder after all there are: one that a failed run left half-written keeps its number."""
-        return f"{self.base}/v={max(self._folders(), default=0) + 1:06d}"
-
-    def mark_committed(self, path: str, source: tuple[str, int] | None = None) -> None:
-        """Create the commit marker after a successful write (does not rely on
-        the committer's optional _SUCCESS file); it holds the stream and epoch."""
-        fs, jvm = self._fs()
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(path, COMMIT_MARKER), True)
-        if source:
-            out.write(bytearray(json.dumps(list(source)).encode()))
-        out.close()
-
-    def sources(self) -> set[tuple[str, int]]:
-        """The (stream, epoch) pairs that versions were made from."""
-        fs, jvm = self._fs()
-        out = set()
-        for v in self.versions():
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/v={v:06d}", COMMIT_MARKER)
-            if fs.getFileStatus(path).getLen():
-                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path)))
-                out.add(tuple(json.loads(reader.readLine())))
-                reader.close()
-        return out
-
-    def current(self) -> DataFrame | None:
-        v = self.versions()
-        return self.spark.read.parquet(f"{self.base}/v={v[-1]:06d}") if v else None
-
-    def commit(self, df: DataFrame, source: tuple[str, int] | None = None) -> int:
-        """Write ``df`` as the next version; returns its number.  No existing folder is written to."""
-        path = self.next_path()
-        df.write.mode("errorifexists").parquet(path)
-        self.mark_committed(path, source)
-        return int(path.rpartition("=")[2])

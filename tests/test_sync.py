@@ -3,19 +3,22 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmart.operators.sync import (
     apply_upsert,
-    check_unique_keys,
     classify_changes,
     evolve_schema,
     infer_sync_schema,
-    sync_frames,
+    upsert_rows,
     upsert_summary,
     values_equal,
 )
+from quillmart.plans.upsert import sync_table
+from quillmart.session import scratch_dir
+from quillmart.sources.versions import SnapshotTable
 
 AS_OF = dt.datetime(2020, 1, 1)
 
@@ -98,12 +101,10 @@ def test_upsert_is_idempotent(spark):
 
 
 def test_duplicate_or_null_keys_rejected(spark):
-    dup = spark.createDataFrame([(1, "a"), (1, "b")], "k long, s string")
-    with pytest.raises(ValueError):
-        check_unique_keys(dup, "k", "incoming")
-    nul = spark.createDataFrame([(None, "a")], "k long, s string")
-    with pytest.raises(ValueError):
-        sync_frames(None, nul, "k", AS_OF)
+    for rows in ([(1, "a"), (1, "b")], [(None, "a")]):
+        bad = spark.createDataFrame(rows, "k long, s string")
+        with pytest.raises(PySparkException, match="must be unique"):
+            upsert_rows(None, bad, "k", AS_OF, validate=True).collect()
 
 
 def test_empty_incoming_keeps_target(spark):
@@ -114,12 +115,10 @@ def test_empty_incoming_keeps_target(spark):
 
 
 def test_duplicate_incoming_deduped_by_order(spark):
-    t = _target(spark)
+    base = scratch_dir(spark, "dedupe")
+    sync_table(spark, _target(spark), "k", base, AS_OF)
     inc = spark.createDataFrame(
         [(2, "old", "2", "false", None, 1), (2, "newest", "2", "false", None, 2)],
         "k long, s string, x string, f string, extra string, ver int")
-    new, summary = sync_frames(t, inc, "k", AS_OF, dedupe_order=["ver"])
-    row = new.filter("k = 2").first()
-    assert row.s == "newest"
-    counts = {r.action: r.n for r in summary.collect()}
-    assert counts["update"] == 1 and counts["keep"] == 2
+    assert sync_table(spark, inc, "k", base, AS_OF, dedupe_order=["ver"]) == {"update": 1, "keep": 2}
+    assert SnapshotTable(spark, base).current().filter("k = 2").first().s == "newest"

@@ -97,15 +97,16 @@ def test_a_half_written_version_blocks_nothing(spark):
     base = scratch_dir(spark, "half")
     table = SnapshotTable(spark, base)
     table.commit(spark.range(3))
-    spark.range(9).write.parquet(f"{base}/v=000002")  # no marker: the run failed
+    spark.range(9).write.parquet(f"{base}/{table.attempt()}")  # no log entry: the run failed
     assert table.current().count() == 3
-    assert table.commit(spark.range(5)) == 3 and table.current().count() == 5
+    assert table.commit(spark.range(5)) == 2 and table.current().count() == 5
     marts = scratch_dir(spark, "half-mart")
     df = spark.range(10).select("id", F.expr("timestamp_ntz '2000-01-01' + make_interval(0, 0, 0, int(id))").alias("t"))
     publish_mart(df, marts, "t", ["id"])
-    df.write.parquet(f"{marts}/v=000002")
+    df.write.parquet(f"{marts}/{table.attempt()}")
     assert read_mart(spark, marts).count() == 10
-    assert publish_mart(df.where("id < 6"), marts, "t", ["id"]).endswith("v=000003") and read_mart(spark, marts).count() == 6
+    publish_mart(df.where("id < 6"), marts, "t", ["id"])
+    assert read_mart(spark, marts).count() == 6
     some = read_mart(spark, marts, days=("2000-01-02", dt.date(2000, 1, 3)))
     assert sorted(r.id for r in some.collect()) == [1, 2]
     plan = some._jdf.queryExecution().executedPlan().toString()
@@ -119,4 +120,5 @@ def test_streams_skip_only_their_own_epochs(spark):
     assert upsert_batch(table, batch(1), 0, "k", stream="a") and upsert_batch(table, batch(2), 1, "k", stream="a")
     assert upsert_batch(table, batch(3), 0, "k", stream="b")  # a new checkpoint folder starts at epoch 0 again
     assert not upsert_batch(table, batch(9), 1, "k", stream="a")
+    assert table.streams() == {"a": 1, "b": 0}
     assert sorted(r.k for r in table.current().collect()) == [0, 1, 2, 3]
