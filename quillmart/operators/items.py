@@ -16,7 +16,8 @@ Wide item rows (HTML and text bodies) shuffle once, in the version window on
 the item id key.  Every dimension is joined on a narrow (id, foreign keys)
 frame and rejoined on that key, so the wide rows keep the window's
 partitioning; fan-out (projects, companies, worker directory) happens on the
-narrow side, and wide rows multiply only in the last join.
+narrow side, and wide rows multiply only in the last join.  Items with very many
+links are split there (``hot_items``).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +85,8 @@ class Params:
     source_zone: str = "UTC"
     due_zone: str = "America/New_York"
     strict_parse: bool = True
+    #: Project links that one task joins to one item's wide row, at most.
+    hot_item_rows: int = 200_000
     layouts: Layouts = field(default_factory=Layouts)
 
     def today_col(self):
@@ -156,7 +159,10 @@ def current_items(src: Sources, p: Params, keep_id_key: bool = False) -> DataFra
 
 def latest_users(src: Sources, p: Params) -> DataFrame:
     lay = p.layouts.user
-    return (latest_version(stage(src.user, lay), ["user_id"], version_order(lay))
+    # Ending the order with both names settles ties between versions the same way
+    # wherever users are read, and keeps both columns in the rows that are shuffled for
+    # the window in every role, so that Spark makes that exchange once and reuses it.
+    return (latest_version(stage(src.user, lay), ["user_id"], version_order(lay) + ["user_name", "user_email"])
             .select("user_id", "user_name", "user_email"))
 
 
@@ -187,9 +193,29 @@ def item_projects(src: Sources, p: Params) -> DataFrame:
             .distinct())
 
 
+#: Range over which rows without a foreign key are spread in a join that they can't match.
+NULL_SPREAD = 1 << 16
+
+
+def lookup_join(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str, spread: str) -> DataFrame:
+    """Left join of ``rows`` to a dimension, both keys being equal; ``dimension_key`` goes.
+
+    Rows whose key is NULL match nothing, and SQL's join would send all of them to one
+    task.  They get a hash of ``spread`` for a key instead, and a flag that no row of the
+    dimension has.
+    """
+    dtype = dimension.schema[dimension_key].dataType
+    null = F.col(key).isNull()
+    salt = F.pmod(F.xxhash64(spread), F.lit(NULL_SPREAD)).cast(dtype)
+    left = rows.withColumns({"__lk": F.coalesce(F.col(key).cast(dtype), salt), "__ln": null})
+    right = dimension.where(F.col(dimension_key).isNotNull()).withColumn("__rn", F.col(dimension_key).isNull())
+    on = (left["__lk"] == right[dimension_key]) & (left["__ln"] == right["__rn"])
+    return left.join(right, on, "left").drop("__lk", "__ln", "__rn", dimension_key)
+
+
 def people_joins(rows: DataFrame, src: Sources, p: Params, workers: DataFrame | None) -> DataFrame:
     """Assignee name/email/position, completer name, optionally the worker
-    directory (fan-out by email).  One deduplicated user frame serves both roles."""
+    directory (fan-out by email).  Both roles read one shuffle of the users."""
     users = latest_users(src, p)
     assignee = users.select(F.col("user_id").alias("__a_id"), F.col("user_name").alias("task_assignee_name"),
                             F.col("user_email").alias("task_assignee_email"))
@@ -197,15 +223,12 @@ def people_joins(rows: DataFrame, src: Sources, p: Params, workers: DataFrame |
                              F.col("user_name").alias("task_completed_by_name"))
     position = latest_pay_rate(src, p).select(F.col("worker_email").alias("__w_email"),
                                               F.col("position_title").alias("task_assignee_position"))
-    out = (rows
-           .join(assignee, F.col("task_assignee_id") == F.col("__a_id"), "left")
-           .join(position, F.col("task_assignee_email") == F.col("__w_email"), "left")
-           .join(completer, F.col("task_completed_by") == F.col("__c_id"), "left")
-           .drop("__a_id", "__c_id", "__w_email"))
+    out = lookup_join(rows, assignee, "task_assignee_id", "__a_id", "task_id")
+    out = lookup_join(out, position, "task_assignee_email", "__w_email", "task_id")
+    out = lookup_join(out, completer, "task_completed_by", "__c_id", "task_id")
     if workers is not None:
         from quillmart.plans.marts import worker_directory
-        out = (out.join(worker_directory(workers), F.col("task_assignee_email") == F.col("__w_email"), "left")
-               .drop("__w_email"))
+        out = lookup_join(out, worker_directory(workers), "task_assignee_email", "__w_email", "task_id")
     return out
 
 
@@ -218,6 +241,40 @@ def _id_join(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(r, cond, "left").drop("__r0", "__r1")
 
 
+def hot_items(links: DataFrame, rows_per_item: int) -> DataFrame:
+    """(task_id, slices) of the items with more than ``rows_per_item`` links, that many in a slice at most."""
+    n = F.count(F.lit(1))
+    return (links.where(F.col("task_id").isNotNull()).groupBy("task_id").agg(F.ceil(n / rows_per_item).cast("int").alias("slices"))
+            .where(F.col("slices") > 1))
+
+
+def _fan_out_join(left: DataFrame, right: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``_id_join`` of items to their fan-out rows; rows of ``hot`` items are dealt to slices.
+
+    The items come out of a window, so Spark's own skew handling can't split this join,
+    and one item's rows would all be made by one task.  A hot item is repeated once per
+    slice, and its fan-out rows are dealt to the slices by a hash.  Everything else
+    joins as before: the wide rows of other items are not shuffled again.  A marker row
+    per hot item takes the hot ones out of the ordinary join.
+    """
+    if hot is None:
+        return _id_join(left, right)
+    marked = right.join(hot, "task_id", "left")
+    marker = hot.select("task_id", F.lit(True).alias("__hot"))
+    normal = marked.where(F.col("slices").isNull()).drop("slices").unionByName(marker, allowMissingColumns=True)
+    ordinary = _id_join(left, normal).where(F.col("__hot").isNull()).drop("__hot")
+    # Identical hashes aside, a slice may stay empty; inner join, as every hot item has fan-out rows.
+    dealt = marked.where(F.col("slices").isNotNull()).withColumn("__slice", F.pmod(F.xxhash64(*right.columns), F.col("slices")).cast("int")).drop("slices")
+    keys = _with_id_key(hot).drop("task_id").withColumnsRenamed({"__id0": "__h0", "__id1": "__h1"})
+    copies = left.join(keys, (left["__id0"] == keys["__h0"]) & (left["__id1"] == keys["__h1"])).drop("__h0", "__h1")
+    copies = copies.withColumn("__slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    r = _with_id_key(dealt).drop("task_id").withColumnsRenamed({"__id0": "__r0", "__id1": "__r1", "__slice": "__rs"})
+    # The slice comes first among the keys of an exchange of its own, so copies leave the item's partition.
+    copies = copies.repartition("__id0", "__id1", "__slice")
+    on = (copies["__id0"] == r["__r0"]) & (copies["__id1"] == r["__r1"]) & (copies["__slice"] == r["__rs"])
+    return ordinary.unionByName(copies.join(r, on).drop("__r0", "__r1", "__rs", "__slice"))
+
+
 def item_base(src: Sources, p: Params, workers: DataFrame | None = None) -> DataFrame:
     """Current items with fields and people, partitioned by the item id.
 
@@ -236,6 +293,13 @@ def item_base(src: Sources, p: Params, workers: DataFrame | None = None) -> Data
     return _id_join(_id_join(items, fields), people)
 
 
+def hot_links(src: Sources, p: Params) -> DataFrame | None:
+    """The items to split by their number of project links; None, and a plan without that branch, where there are none."""
+    links = stage(src.task_project, p.layouts.task_project).select("task_id", "project_id")
+    hot = hot_items(links, p.hot_item_rows)
+    return None if hot.isEmpty() else hot
+
+
 def item_rows(src: Sources, p: Params, companies: DataFrame | None = None,
               workers: DataFrame | None = None, base: DataFrame | None = None) -> DataFrame:
     """Current items with fields, people, projects and (optionally) companies
@@ -247,9 +311,10 @@ def item_rows(src: Sources, p: Params, companies: DataFrame | None = None,
     """
     base = base if base is not None else item_base(src, p, workers)
     projects = item_projects(src, p).filter(F.col("task_id").isNotNull())
+    hot = hot_links(src, p)
     if companies is not None:
         projects = attach_companies(projects, companies)
-    return _id_join(base, projects)
+    return _fan_out_join(base, projects, hot)
 
 
 def item_core(src: Sources, p: Params, companies: DataFrame | None = None,
@@ -266,6 +331,13 @@ def company_dimension(src: Sources, p: Params, columns: Sequence[str] = COMPANY_
     return comp.select("asana_project_id", *columns).distinct()
 
 
+def company_representatives(companies: DataFrame, ignoring: Sequence[str], mark: str) -> DataFrame:
+    """``companies`` with ``mark``: true in one row of each group of rows equal but for ``ignoring``."""
+    same = [c for c in companies.columns if c not in ignoring]
+    first = F.row_number().over(Window.partitionBy(*same).orderBy(*[F.col(c).asc_nulls_first() for c in ignoring])) == 1
+    return companies.withColumn(mark, first)
+
+
 def attach_companies(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Fan-out left join on the project id (as text) = linked project id."""
     return (rows.join(companies, F.col("project_id").cast("string") == F.col("asana_project_id"), "left")

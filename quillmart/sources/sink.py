@@ -25,8 +25,10 @@ from quillmart.sources.versions import SnapshotTable
 __all__ = ["SnapshotTable", "publish_mart", "read_mart", "write_mart"]
 
 DAY_COL = "__day"
-#: Distinct values that a row group's bloom filter is sized for (about 1.2 bytes each).
-BLOOM_VALUES = 1_000_000
+# Filters grow with the values that a row group holds, from a few hundred bytes to 2 MB;
+# of a fixed size they would outweigh the data of a small day.
+BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(2 << 20)}
+BLOOM_COLUMN = {"parquet.bloom.filter.enabled": "true", "parquet.bloom.filter.candidates.number": "13"}
 
 
 def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequence[str],
@@ -44,8 +46,7 @@ def write_mart(df: DataFrame, path: str, partition_source: str, cluster: Sequenc
     # that holds a large share of all rows; identical keys alone cannot be split.
     spread = F.xxhash64(*[F.col(c) for c in df.columns])
     points = cluster[-1:] if point_columns is None else point_columns
-    bloom = {f"parquet.bloom.filter.{what}#{c}": value for c in points
-             for what, value in (("enabled", "true"), ("expected.ndv", str(min(BLOOM_VALUES, max_records_per_file))))}
+    bloom = BLOOM | {f"{name}#{c}": value for c in points for name, value in BLOOM_COLUMN.items()}
     # Without a fixed number of partitions, adaptive execution sizes them.
     (keyed.repartitionByRange(*([num_partitions] if num_partitions else []), *order, spread)
      .sortWithinPartitions(*order)

@@ -50,3 +50,12 @@ def test_no_python_udf_in_any_query(spark):
         plan = _plan(fn(spark, SF_SMALL))
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
             assert node not in plan, (key, node)
+
+
+def test_the_job_makes_wide_rows_once(spark):
+    from quillmart.plans.job import both_mart_rows
+    from quillmart.plans.registry import fixtures, params, sources
+    df = both_mart_rows(sources(fixtures(spark, SF_SMALL)), params())
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    wide = [b for b in formatted.split("\n\n") if ") Exchange" in b.split("\n")[0] and "task_html_description" in b]
+    assert len(wide) == 1 and not [b for b in formatted.split("\n\n") if ") Union" in b.split("\n")[0] and "task_html_description" in b]
