@@ -10,8 +10,10 @@ from quillmart.llm.licenses import op3_license_scan
 from quillmart.llm.packing import op7_best_fit_packing
 from quillmart.llm.secrets import op5_secret_scan
 from quillmart.llm.simhash import op6_simhash_neardup
+from quillmart.llm.structure import op12_structure_repair
 from quillmart.llm.substrings import op8_substring_dedup
 from quillmart.llm.toxicity import op9_toxicity
+from quillmart.llm.whitening import op13_qdwh_whitening
 
 QUERIES = {
     "op1_multiprobe_ann": op1_multiprobe_ann,
@@ -24,6 +26,8 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op2_chat_repair": op2_chat_repair,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_qdwh_whitening": op13_qdwh_whitening,
 }
 
 #: op8: every window as text, counted; words under a window found twice go.
