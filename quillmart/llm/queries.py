@@ -8,6 +8,7 @@ from quillmart.llm.chat import op2_chat_repair
 from quillmart.llm.gridjoin import op4_grid_order_neardup
 from quillmart.llm.licenses import op3_license_scan
 from quillmart.llm.packing import op7_best_fit_packing
+from quillmart.llm.pii import op11_information_sanitisation
 from quillmart.llm.secrets import op5_secret_scan
 from quillmart.llm.simhash import op6_simhash_neardup
 from quillmart.llm.structure import op12_structure_repair
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op2_chat_repair": op2_chat_repair,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
+    "op11_information_sanitisation": op11_information_sanitisation,
     "op12_structure_repair": op12_structure_repair,
     "op13_qdwh_whitening": op13_qdwh_whitening,
 }

@@ -10,10 +10,11 @@ are the paragraphs of a text.  The link is a semi join of the weak candidates wi
 row per scope, which says how early its secret and access parts end and how late they
 start, so no pairs are made.
 
-Positions are code points.  The pieces between a pattern's matches (split) and the
-matches themselves are measured in turn, which gives each match's start.
+Positions are code points, spans run by start, then kind (see ``spans``).  Patterns try
+each run of characters from one place only, so that time follows the length of a text.
 
-Defined results: a null or empty text has no spans; repeated rows have equal spans;
+Defined results: a null or empty text has no spans; very long texts are read whole;
+of spans that share a start the kind listed first comes first; repeated rows have equal spans;
 a null id is a value like any other; an empty table gives no rows; other columns are
 not read by ``scan`` and are kept by ``redact``.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmart.llm.common import checkpoint, table
+from quillmart.llm.spans import digest, matches, places, rewritten, scoped
 
 #: Characters between two parts of one credential, at most: any number, their scope alone bounds them.
 REACH = float("inf")
@@ -36,8 +38,8 @@ BASE = {
 }
 #: The value of an assignment: what is left without its keyword, quotes, blanks and sign.
 ASSIGN_HEAD = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
-#: Where a host or scheme may begin: not inside a longer one, so that each run is tried once.
-RUN_START = r"(?<![A-Za-z0-9_])(?<![A-Za-z0-9_][.-])"
+#: Where a host or scheme may begin: at the start of a run or after its first few signs, so that each run is tried once.
+RUN_START = r"(?:(?<![A-Za-z0-9_+.-])|(?<=(?:^|[^A-Za-z0-9_+.-])[+.-]{1,8}))"
 # Runs are taken to their end, however long: no upper bounds but those of addresses and ports.
 WEAK = {
     "user": r"""\b(?i:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""",
@@ -53,56 +55,31 @@ KINDS = [*BASE, *WEAK]
 SECRET_PARTS, ACCESS_PARTS = ("assign", "hex", "key"), ("access", "user", "endpoint")
 
 
-def matches(text: Column, kind: str, pattern: str) -> Column:
-    """array<struct<start, end, kind, value>> of a pattern's matches, leftmost first, in code points."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>")
-    # Each step adds one match; the last span's end is where the next gap begins.
-    walked = F.aggregate(
-        F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("value")),
-        empty,
-        lambda done, m: F.concat(done, F.array(_span(
-            F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + F.length(m["gap"]), m["value"], kind))))
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
-
-
-def _span(start: Column, value: Column, kind: str) -> Column:
-    # named_struct, as aliases are lost inside nested lambdas.
-    return F.named_struct(F.lit("start"), start.cast("int"), F.lit("end"), (start + F.length(value)).cast("int"),
-                          F.lit("kind"), F.lit(KINDS.index(kind)), F.lit("value"), value)
-
-
 def base_spans(text: Column) -> Column:
-    """The strong spans that pass their length test, by start and then kind."""
+    """The strong spans that pass their length test."""
     kept = {
         "assign": lambda s: F.length(F.regexp_replace(s["value"], ASSIGN_HEAD, "")) >= 6,
         "access": lambda s: F.length(s["value"]) >= 20,
         "hex": lambda s: s["end"] - s["start"] >= 24,
     }
-    return F.array_sort(F.concat(*[F.filter(matches(text, k, p), kept[k]) for k, p in BASE.items()]))
+    return F.concat(*[F.filter(matches(text, KINDS.index(k), p), kept[k]) for k, p in BASE.items()])
 
 
 def _found(rows: DataFrame) -> DataFrame:
     """(id, th, base, weak, breaks) of rows (id, th, text): spans, and paragraph ends where there are weak ones."""
     text = F.col("text")
-    found = {k: matches(text, k, p) for k, p in WEAK.items()}
+    found = {k: matches(text, KINDS.index(k), p) for k, p in WEAK.items()}
     found["key"] = F.filter(found["key"], lambda s: s["value"].rlike(KEY_PARTS[0]) & s["value"].rlike(KEY_PARTS[1])
                             & s["value"].rlike(KEY_PARTS[2]))
-    slim = rows.select("id", "th", "text", _places(base_spans(text)).alias("base"), _places(F.concat(*found.values())).alias("weak"))
-    breaks = F.when(F.size("weak") > 0, F.transform(matches(text, "assign", PARAGRAPH), lambda b: b["end"]))
+    slim = rows.select("id", "th", "text", places(base_spans(text)).alias("base"), places(F.concat(*found.values())).alias("weak"))
+    breaks = F.when(F.size("weak") > 0, F.transform(matches(text, 0, PARAGRAPH), lambda b: b["end"]))
     return slim.select("id", "th", "base", "weak", F.coalesce(breaks, F.array().cast("array<int>")).alias("breaks"))
 
 
-def _places(spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.named_struct(F.lit("start"), s["start"], F.lit("end"), s["end"], F.lit("kind"), s["kind"]))
-
-
 def linked(found: DataFrame) -> DataFrame:
     """(id, th, more): the weak candidates that complementary parts confirm, by text."""
-    parts = found.where(F.size("weak") > 0).select("id", "th", "breaks", F.explode(F.concat("base", "weak")).alias("s"))
-    scope = F.size(F.filter("breaks", lambda b: b <= F.col("s.start")))
-    parts = parts.select("id", "th", scope.alias("scope"), "s.start", "s.end", "s.kind").distinct()
+    parts = found.where(F.size("weak") > 0).select("id", "th", F.explode(scoped(F.concat(F.col("base"), F.col("weak")), F.col("breaks"))).alias("s"))
+    parts = parts.select("id", "th", "s.scope", "s.start", "s.end", "s.kind").distinct()
     secret = F.col("kind").isin([KINDS.index(k) for k in SECRET_PARTS])
     access = F.col("kind").isin([KINDS.index(k) for k in ACCESS_PARTS])
     # A part that ends before a candidate or starts after it exists if the first to end or the last to start does.
@@ -118,13 +95,7 @@ def linked(found: DataFrame) -> DataFrame:
     met = weak.join(
         scopes, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("th") == F.col("o_th")) & (F.col("scope") == F.col("o_scope"))
         & F.when(access, apart("secret")).otherwise(apart("access")), "left_semi")
-    return met.groupBy("id", "th").agg(F.collect_set(F.struct("start", "end", "kind")).alias("more"))
-
-
-def _digest(spans: Column) -> Column:
-    names = F.array(*map(F.lit, KINDS))
-    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
-        ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))))
+    return met.groupBy("id", "th").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -133,7 +104,7 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def scan(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, base, spans) of every row: arrays of struct<start, end, kind>, kind by its place in KINDS.
+    """(id, th, base, spans) of every row: arrays of struct<start, kind, end>, kind by its place in KINDS.
 
     The texts are read once; what is found in them is checkpointed, and only that is joined.
     """
@@ -151,19 +122,8 @@ def redact(df: DataFrame, id_col: str, text_col: str, mask: str = "[SECRET]") ->
     key = F.col(f"row.`{id_col}`")
     text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
     scanned = rows.join(found, key.eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("th")), "left")
-    # Walk over the spans: at is the code point up to which the text has been copied.
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.named_struct(F.lit("at"), F.greatest(acc["at"], s["end"]),
-                              F.lit("out"), F.when(new, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]))
-
-    def finish(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-
-    clean = F.when(F.col("spans").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.aggregate("spans", start, step, finish))
+    new = rewritten(text, F.col("spans"), lambda span, old: F.lit(mask))
+    clean = F.when(F.col("spans").isNull(), F.col(f"row.`{text_col}`")).otherwise(new)
     return scanned.select(*[(clean if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in df.columns])
 
 
@@ -175,4 +135,4 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
 
     return found.select(F.col("id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in BASE],
-                        F.sha2(_digest(F.col("base")), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"))
+                        F.sha2(digest(F.col("base"), KINDS), 256).alias("base_sha256"), digest(F.col("spans"), KINDS).alias("spans"))

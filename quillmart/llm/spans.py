@@ -1,9 +1,10 @@
 """Spans of texts as column expressions: pattern matches with their places, and texts rewritten at spans.
 
-Everything here takes time in proportion to the text and the number of spans (but for a
-share that grows with spans x spans / 16,384): arrays grow in blocks, since adding to an
-array copies it, and texts are cut into chunks, since every substring walks from the start.
-Places are code points.
+A walk that adds to an array at each step copies it each time.  Places are running sums
+instead, made in one pass per power of two, so that everything here takes time in
+proportion to the text, and to n log n for n spans.  Texts are cut into chunks before
+pieces are taken from them, since every substring walks from the start.  Places are
+code points.
 """
 
 from __future__ import annotations
@@ -13,29 +14,19 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Entries that a growing array takes before it becomes a block of its own.
-BLOCK = 128
 #: Code points of a chunk.
 CHUNK = 4096
+#: Arrays hold fewer than two to this power entries.
+POWERS = 31
 
 
-def grow(items: Column, state: dict[str, Column], step: Callable[[Column, Column], tuple[dict[str, Column], Column]], entry: str) -> Column:
-    """The entries that a walk over ``items`` makes, one an item, as an array.
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """array<int>: ``combine`` (sum or greatest) of each of the non-negative ints and all before it."""
+    def double(acc: Column, k: Column) -> Column:
+        earlier = F.concat(F.array_repeat(F.lit(0), k), F.slice(acc, 1, F.greatest(F.size(acc) - k, F.lit(0))))
+        return F.when(k < F.size(acc), F.zip_with(acc, earlier, combine)).otherwise(acc)
 
-    ``step(state, item)`` gives the next state and the entry; ``entry`` is the entries' type.
-    """
-    def shape(state: dict[str, Column], full: Column, part: Column) -> Column:
-        # named_struct, as aliases are lost inside nested lambdas.
-        return F.named_struct(*[x for k, v in state.items() for x in (F.lit(k), v)], F.lit("full"), full, F.lit("part"), part)
-
-    def add(acc: Column, item: Column) -> Column:
-        after, made = step(acc, item)
-        over = F.size(acc["part"]) >= BLOCK
-        return shape(after, F.when(over, F.concat(acc["full"], F.array(acc["part"]))).otherwise(acc["full"]),
-                     F.when(over, F.array(made)).otherwise(F.concat(acc["part"], F.array(made))))
-
-    start = shape(state, F.array().cast(f"array<array<{entry}>>"), F.array().cast(f"array<{entry}>"))
-    return F.aggregate(items, start, add, lambda acc: F.flatten(F.concat(acc["full"], F.array(acc["part"]))))
+    return F.aggregate(F.array(*[F.lit(1 << i) for i in range(POWERS)]), values, double)
 
 
 def matches(text: Column, kind: int, pattern: str, around: int = 0) -> Column:
@@ -43,27 +34,24 @@ def matches(text: Column, kind: int, pattern: str, around: int = 0) -> Column:
 
     With ``around``, also up to so many characters ``before`` and ``after`` a match, not
     beyond the next match on either side.  The text between matches (split) and the
-    matches are measured in turn, which gives each match's start.
+    matches are measured, which gives each match's end.
     """
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     gaps, n = F.split(text, pattern, -1), F.size(found)
-    pairs = F.zip_with(F.slice(gaps, 1, n), found, lambda g, v: F.named_struct(F.lit("gap"), g, F.lit("value"), v))
-    kinds = "start:int,end:int,kind:int,value:string"
-    if around:
-        kinds += ",before:string,after:string"
-        pairs = F.zip_with(pairs, F.slice(gaps, 2, n), lambda p, g: F.named_struct(
-            F.lit("gap"), p["gap"], F.lit("value"), p["value"], F.lit("after"), g))
+    ends = running(F.zip_with(F.slice(gaps, 1, n), found, lambda g, v: F.length(g) + F.length(v)), lambda a, b: a + b)
 
-    def step(acc: Column, m: Column) -> tuple[dict[str, Column], Column]:
-        start = acc["at"] + F.length(m["gap"])
-        end = start + F.length(m["value"])
-        fields = [F.lit("start"), start, F.lit("end"), end, F.lit("kind"), F.lit(kind), F.lit("value"), m["value"]]
-        if around:
-            fields += [F.lit("before"), F.right(m["gap"], F.lit(around)), F.lit("after"), F.left(m["after"], F.lit(around))]
-        return {"at": end}, F.named_struct(*fields)
+    def span(end: Column, value: Column) -> list[Column]:
+        # named_struct, as aliases are lost inside nested lambdas.
+        return [F.lit("start"), end - F.length(value), F.lit("end"), end, F.lit("kind"), F.lit(kind), F.lit("value"), value]
 
-    walked = grow(pairs, {"at": F.lit(0)}, step, f"struct<{kinds}>")
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(f"array<struct<{kinds}>>"))
+    spans, fields = F.zip_with(ends, found, lambda e, v: F.named_struct(*span(e, v))), "start:int,end:int,kind:int,value:string"
+    if around:
+        fields += ",before:string,after:string"
+        sides = F.zip_with(F.slice(gaps, 1, n), F.slice(gaps, 2, n), lambda g, h: F.named_struct(
+            F.lit("before"), F.right(g, F.lit(around)), F.lit("after"), F.left(h, F.lit(around))))
+        spans = F.zip_with(spans, sides, lambda s, g: F.named_struct(*[
+            x for c in ("start", "end", "kind", "value") for x in (F.lit(c), s[c])], F.lit("before"), g["before"], F.lit("after"), g["after"]))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<struct<{fields}>>"))
 
 
 def places(spans: Column) -> Column:
@@ -85,13 +73,10 @@ def scoped(spans: Column, breaks: Column) -> Column:
         F.lit("at"), b, F.lit("span"), F.lit(0), F.lit("start"), b, F.lit("kind"), F.lit(-1), F.lit("end"), b))
     parts = F.transform(spans, lambda s: F.named_struct(
         F.lit("at"), s["start"], F.lit("span"), F.lit(1), F.lit("start"), s["start"], F.lit("kind"), s["kind"], F.lit("end"), s["end"]))
-
-    def step(acc: Column, m: Column) -> tuple[dict[str, Column], Column]:
-        scope = acc["scope"] + F.when(m["span"] == 0, 1).otherwise(0)
-        return {"scope": scope}, F.named_struct(F.lit("start"), m["start"], F.lit("kind"), m["kind"], F.lit("end"), m["end"], F.lit("scope"), scope)
-
-    walked = grow(F.array_sort(F.concat(marks, parts)), {"scope": F.lit(0)}, step, "struct<start:int,kind:int,end:int,scope:int>")
-    return F.filter(walked, lambda s: s["kind"] >= 0)
+    merged = F.array_sort(F.concat(marks, parts))
+    scopes = running(F.transform(merged, lambda m: 1 - m["span"]), lambda a, b: a + b)
+    return F.filter(F.zip_with(merged, scopes, lambda m, n: F.named_struct(
+        F.lit("start"), m["start"], F.lit("kind"), m["kind"], F.lit("end"), m["end"], F.lit("scope"), n)), lambda s: s["kind"] >= 0)
 
 
 def _between(chunks: Column, a: Column, b: Column) -> Column:
@@ -105,12 +90,16 @@ def _between(chunks: Column, a: Column, b: Column) -> Column:
 def rewritten(text: Column, spans: Column, new: Callable[[Column, Column], Column]) -> Column:
     """``text`` with each span replaced by ``new(span, its text)``; of overlapping spans the first to start decides."""
     chunks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
-
-    def step(acc: Column, s: Column) -> tuple[dict[str, Column], Column]:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(_between(acc["chunks"], acc["at"], s["start"]), new(s, _between(acc["chunks"], s["start"], s["end"])))
-        return ({"at": F.greatest(acc["at"], s["end"]), "chunks": acc["chunks"]}, F.when(fresh, piece).otherwise(F.lit("")))
-
-    end = F.aggregate(spans, F.lit(0), lambda m, s: F.greatest(m, s["end"]))
-    out = grow(spans, {"at": F.lit(0), "chunks": chunks}, step, "string")
-    return F.concat(F.array_join(out, ""), _between(chunks, end, F.length(text)))
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+
+    def write(chunks: Column) -> Column:
+        # Up to which place the spans before one reach, with the span.
+        placed = F.zip_with(spans, F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.greatest(F.size(spans) - 1, F.lit(0)))),
+                            lambda s, at: F.named_struct(F.lit("s"), s, F.lit("at"), at))
+        pieces = F.transform(placed, lambda p: F.when(p["s"]["start"] >= p["at"], F.concat(
+            _between(chunks, p["at"], p["s"]["start"]), new(p["s"], _between(chunks, p["s"]["start"], p["s"]["end"])))).otherwise(F.lit("")))
+        return F.concat(F.array_join(pieces, ""), _between(chunks, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text)))
+
+    # A lambda's variable holds the chunks, which are thus cut once.
+    whole = F.get(F.transform(F.array(chunks), write), F.lit(0))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)

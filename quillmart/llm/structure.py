@@ -239,7 +239,9 @@ def repair(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col:
     conv, most = rows.schema["conv"].dataType, BLOCK
     ddl, conv_type = conv.simpleString(), to_arrow_type(conv)
     names = ["conv", "place", "places", "costs", "ranks", "audits", "initials", "illegal", "blank", "duplicate", "truncated"]
-    blocks = checkpoint(slim.repartitionByRange("place").sortWithinPartitions("place").mapInArrow(
+    # Agendas cost more than rows weigh: a given number of partitions isn't coalesced by size.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = checkpoint(slim.repartitionByRange(tasks, "place").sortWithinPartitions("place").mapInArrow(
         lambda b: _blocks(b, conv_type, names, most),
         f"conv {ddl}, place long, places array<long>, costs array<long>, ranks array<int>, audits array<string>, initials array<string>, "
         "illegal long, blank long, duplicate long, truncated long"))

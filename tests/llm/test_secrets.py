@@ -1,5 +1,8 @@
 import random
 import re
+import time
+
+import regex
 
 from quillmart.llm import secrets
 
@@ -19,7 +22,7 @@ def linked(text, reach=secrets.REACH):
     text = text or ""
     weak = []
     for kind, pattern in secrets.WEAK.items():
-        for m in re.finditer(pattern, text):
+        for m in regex.finditer(pattern, text):  # look-behinds of several lengths
             if kind != "key" or all(re.search(p, m[0]) for p in secrets.KEY_PARTS):
                 weak.append((m.start(), m.end(), secrets.KINDS.index(kind)))
     scope = lambda s: sum(m.end() <= s[0] for m in re.finditer(secrets.PARAGRAPH, text))
@@ -41,9 +44,9 @@ def test_spans_equal_brute_force(spark, clash):
     docs = [(i, t) for i, t in enumerate(texts())] + [(7, "user: a1b token=abcdef"), (7, "user: a1b token=abcdef"), (None, "user: a1b token=abcdef")]
     df = clash(spark.createDataFrame(docs, "doc_id long, text string"))
     rows = secrets.scan(df, "doc_id", "text").collect()
-    got = sorted((str(r.id), [tuple(s) for s in r.base], [tuple(s) for s in r.spans]) for r in rows)
-    want = sorted((str(i), base(t), sorted(set(base(t)) | set(linked(t)))) for i, t in docs)
-    assert got == [(i, b, sorted(s)) for i, b, s in want]
+    got = sorted((str(r.id), [(s.start, s.end, s.kind) for s in r.base], [(s.start, s.end, s.kind) for s in r.spans]) for r in rows)
+    want = sorted((str(i), base(t), sorted(set(base(t)) | set(linked(t)), key=lambda s: (s[0], s[2]))) for i, t in docs)
+    assert got == want
     assert any(len(s) > len(b) for _, b, s in want)
     assert secrets.scan(df.limit(0), "doc_id", "text").count() == 0
 
@@ -72,7 +75,7 @@ def test_weak_runs_are_taken_to_their_end(spark):
     plain = ["at 10:30 or 2024-01-01T10:30 or 1.5:30 or 1.2.3.4.5:30"]
     docs += [(100 + i, f"{w} token=abcdef") for i, w in enumerate(plain)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    found = {r.id: [tuple(s) for s in r.spans if s.kind >= len(secrets.BASE)] for r in secrets.scan(df, "doc_id", "text").collect()}
+    found = {r.id: [(s.start, s.end, s.kind) for s in r.spans if s.kind >= len(secrets.BASE)] for r in secrets.scan(df, "doc_id", "text").collect()}
     for i, w in enumerate(weak):
         assert [s[:2] for s in found[i]] == [(0, len(w))], w
     assert not found[100]
@@ -90,3 +93,23 @@ def test_parts_link_across_a_whole_scope(spark):
     assert names == {0: ["assign", "user"], 1: ["assign", "endpoint"], 2: ["endpoint", "key"], 3: ["assign"], 4: ["assign"]}
     clean = secrets.redact(df, "doc_id", "text").where("doc_id = 0").first().text
     assert clean == f"[SECRET]\n{lines}\n[SECRET]"
+
+
+def test_kinds_in_order_where_they_share_a_start(spark):
+    docs = [(1, "secret:54321.abc password = hunter22"), (2, "login:5432.x password = hunter22")]
+    rows = secrets.scan(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").collect()
+    names = {r.id: [(s.start, secrets.KINDS[s.kind]) for s in r.spans] for r in rows}
+    assert names[1][:2] == [(0, "assign"), (0, "endpoint")] and names[2][:2] == [(0, "user"), (0, "endpoint")]
+
+
+def test_long_texts_end_in_seconds(spark):
+    many = "AKIA" + "Z9" * 8 + " "
+    texts = [many * 100_000, "a--" * 350_000, "user: bob42 token=abcdefg\n\n" * 50_000]
+    spark.createDataFrame([(0, "warm")], "doc_id long, text string").transform(lambda d: secrets.scan(d, "doc_id", "text")).collect()
+    for i, (text, n) in enumerate(zip(texts, (100_000, 0, 100_000))):
+        begin = time.time()
+        df = spark.createDataFrame([(i, text)], "doc_id long, text string")
+        row = secrets.scan(df, "doc_id", "text").first()
+        assert len(row.spans) == n and time.time() - begin < 40
+    clean = secrets.redact(df, "doc_id", "text").first().text
+    assert clean == "[SECRET] [SECRET]\n\n" * 50_000
