@@ -18,8 +18,10 @@ pieces joined.  A merged turn is a piece without a header of its own, so no long
 message is gathered in one place.
 
 Costs: merge ``MERGE``, relabel ``RELABEL`` (to or from system ``SYSTEM``), empty turn
-``INSERT``; an unknown or null role costs nothing to label as user or assistant.  Ties go to the
-first of keep, merge, relabel, insert.
+``INSERT``; an unknown or null role costs nothing to label as user or assistant.  Of equally cheap
+repairs the one is taken that, from the last turn back, leaves each turn in the first of
+the states system, user, assistant; of ways to get there, the first of keep, merge,
+relabel, insert.
 
 Defined results: turns are ordered by turn (null first), role, text; a null or empty
 text is an empty message; a null conversation id is a conversation of its own; repeated

@@ -83,8 +83,9 @@ def label_of(identifier: str) -> str:
     return identifier
 
 
-def evaluate(expression: str) -> tuple[list[str], float | None]:
-    """(labels, restriction) of a licence expression; the restriction of a broken one is None."""
+def evaluate(text: str, at: int = 0, stop: int | None = None) -> tuple[list[str], float | None]:
+    """(labels, restriction) of the licence expression in a stretch of text, read up to the first word after
+    it; the restriction of a broken one is None."""
     binds = {"with": 3, "and": 2, "or": 1}
     labels: list[str] = []
     values: list[float] = []
@@ -98,7 +99,8 @@ def evaluate(expression: str) -> tuple[list[str], float | None]:
         return True
 
     operand = True  # whether an operand is to come
-    for token in _TOKEN.findall(expression):
+    for found in _TOKEN.finditer(text, at, len(text) if stop is None else stop):
+        token = found[0]
         if token == "(":
             if not operand:
                 return labels, None
@@ -160,10 +162,12 @@ class Scanner:
             labels.add(BASE.get(phrase) or NOTICES[phrase])
         tagged, limits = 0, []
         if b":" in raw:
-            low = raw.decode()
+            low, stop = raw.decode(), -1
             for end, _ in self.tags.iter(low):
-                stop = low.find("\n", end)
-                found, limit = evaluate(low[end + 1:stop if stop >= 0 else len(low)].rstrip("*/ \r"))
+                if stop <= end:  # a line's end is sought once
+                    stop = low.find("\n", end)
+                    stop = len(low) if stop < 0 else stop
+                found, limit = evaluate(low, end + 1, stop)
                 labels.update(found)
                 if limit is not None:
                     tagged += 1

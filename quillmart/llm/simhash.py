@@ -210,10 +210,10 @@ def one_of_each(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGL
     """``df`` with one row of every group: that of the least id (null last), then of the least key."""
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     kept = groups(df, id_col, text_col, shingle, radius).groupBy("root").agg(first.alias("kept"))
-    kept = kept.select(F.col("kept.key").alias("k"), F.col("kept.id").alias("i"))
-    key = fresh(df, "key")
+    key, k, i = fresh(df, "key"), fresh(df, "kept_key"), fresh(df, "kept_id")
+    kept = kept.select(F.col("kept.key").alias(k), F.col("kept.id").alias(i))
     rows = df.withColumn(key, row_key(F.col(id_col), F.col(text_col)))
-    rows = rows.join(kept, (F.col(key) == F.col("k")) & F.col(id_col).eqNullSafe(F.col("i")), "left_semi")
+    rows = rows.join(kept, (F.col(key) == F.col(k)) & F.col(id_col).eqNullSafe(F.col(i)), "left_semi")
     return rows.dropDuplicates([key, id_col, text_col]).drop(key)
 
 

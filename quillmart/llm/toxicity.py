@@ -37,6 +37,8 @@ SAMPLE = 4_000
 BEGINNINGS = (4, 5, 6)
 #: A feature marks tokens from this many toxic documents, log odds and G statistic on.
 LEAST_DOCS, LEAST_ODDS, LEAST_G = 4, 2.0, 20.0
+#: Clean texts of the sample that the chain learns from: as many as toxic ones, and at least these.
+CLEAN = 200
 STEPS, RATE, RIDGE = 40, 0.3, 1e-3
 BLOCK = 64
 #: Text bytes that are scored at once: a token takes some 150 bytes meanwhile.
@@ -255,7 +257,7 @@ def _witnesses(words: list[bytes], which: np.ndarray, first: np.ndarray) -> np.n
 def _fit_chain(model: Model, words, which, first, text, toxic) -> None:
     """Adam on the likelihood of the token labels: all toxic texts and as many of the others."""
     clean = np.flatnonzero(toxic == 0)
-    chosen = np.isin(np.arange(len(toxic)), np.concatenate((np.flatnonzero(toxic), clean[:max(200, int(toxic.sum()))])))
+    chosen = np.isin(np.arange(len(toxic)), np.concatenate((np.flatnonzero(toxic), clean[:max(CLEAN, int(toxic.sum()))])))
     keep = chosen[text]
     which, text = which[keep], text[keep]
     first = np.searchsorted(text, np.flatnonzero(chosen))

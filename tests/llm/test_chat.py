@@ -79,3 +79,14 @@ def test_a_conversation_over_many_partitions(spark, clash, parts):
         assert all(f"m{t}" in text for t in range(400)) or conv != 1
     assert out[out.conv.isna()].rendered.tolist() == ["<|user|>\n<|end|>\n"]
     assert chat.repair(df.limit(0), "conv_id", "turn", "role", "text").count() == 0
+
+
+def test_ties_go_to_the_first_states_from_the_end():
+    # user, assistant, system, user: merging the last turn and keeping it cost 7 in all either way
+    roles = ["user", "assistant", "system", "user"]
+    states = chat.path(roles, chat.START, chat.AFTER_USER)
+    same = [s for s in __import__("itertools").product(range(chat.STATES), repeat=3)
+            if all((a, b) in chat.MOVES[r] for a, b, r in zip((chat.START, *s), (*s, chat.AFTER_USER), roles))]
+    cost = lambda s: sum(chat.MOVES[r][a, b][0] for a, b, r in zip((chat.START, *s), (*s, chat.AFTER_USER), roles))
+    cheapest = min(map(cost, same))
+    assert tuple(states[:3]) == min((s for s in same if cost(s) == cheapest), key=lambda s: s[::-1])

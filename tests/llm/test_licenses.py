@@ -46,3 +46,12 @@ def test_rows(spark, clash):
     assert rows[3, 100002].first_word == 100000 and rows[2, 0].score == 0.0 and rows[None, 0].labels == ""
     assert all(0 <= r.score <= 1 for r in rows.values())
     assert licenses.scan(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_one_line_with_many_tags():
+    import time
+    text = "SPDX-License-Identifier: MIT then words " * 23_000
+    begin = time.time()
+    words, *_, labels, _ = licenses.Scanner().scan(text)
+    assert labels == "mit" and time.time() - begin < 20
+    assert licenses.evaluate("x (MIT or GPL-2.0) end", 2)[0] == licenses.evaluate("(MIT or GPL-2.0)")[0]
