@@ -39,7 +39,7 @@ BASE = {
 #: The value of an assignment: what is left without its keyword, quotes, blanks and sign.
 ASSIGN_HEAD = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 #: Where a host or scheme may begin: at the start of a run or after its first few signs, so that each run is tried once.
-RUN_START = r"(?:(?<![A-Za-z0-9_+.-])|(?<=(?:^|[^A-Za-z0-9_+.-])[+.-]{1,8}))"
+RUN_START = r"(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])(?>(?<![+.-])|(?<=(?:^|[^A-Za-z0-9_+.-])[+.-]{1,8}))"
 # Runs are taken to their end, however long: no upper bounds but those of addresses and ports.
 WEAK = {
     "user": r"""\b(?i:user(?:name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""",
