@@ -15,8 +15,13 @@ k follows the number of vectors by one formula at every size (about ``PER_BUCKET
 bucket); the neighbour distance is estimated on at most ``SAMPLE`` vectors.  Every row
 is indexed.  Of vectors that are equal, only the ``k`` + 1 smallest ids can be among
 the k nearest of anything, so the others stay out of the index, and equal queries are
-searched once; this loses nothing.  Buckets with many rows or probes are cut into
-blocks, each block of rows meeting each block of probes in a task of its own.
+searched once; this loses nothing.
+
+Buckets are dealt to tasks by shards: a bucket's shard is its place by all but the last
+``FINER`` functions, so that the buckets that a query visits lie in few shards, and its
+vector travels once to a shard, with the list of the buckets it visits there.  Shards with
+many rows or queries are cut into blocks, each block of rows meeting each block of queries
+in a task of its own.  Until the blocks are known, rows and queries move as numbers only.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite
 components, and one with a null id, is neither query nor candidate; only vectors of
@@ -52,7 +57,9 @@ MOST_PROBES = 4096
 #: Places at which a width is tried.
 PLACES = 64
 STEPS = np.arange(-3, 4)
-#: Rows of a block, probes of a block.
+#: Functions that tell the buckets of one shard apart.
+FINER = 3
+#: Rows of a block, queries of a block.
 ROWS, PROBES = 2048, 1024
 
 _erf = np.frompyfunc(erf, 1, 1)
@@ -67,7 +74,7 @@ class Hashes:
 
     def __init__(self, dim: int, functions: int, radius: float, tables: int = TABLES, seed: int = 11, success: float = SUCCESS):
         rng = np.random.default_rng(seed)
-        self.radius, self.most = radius, MOST_PROBES
+        self.radius, self.most, self.outer = radius, MOST_PROBES, max(0, functions - FINER)
         self.a = rng.normal(size=(tables, dim, functions))
         shift = rng.uniform(0, 1, (tables, functions))
         self.odd = rng.integers(1, 1 << 62, functions, dtype=np.int64) * 2 + 1
@@ -85,28 +92,38 @@ class Hashes:
         """One number per bucket (two buckets that share it are merely searched together)."""
         return (cells.astype(np.int64) * self.odd).sum(-1)
 
-    def likeliest(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(chance, bucket) of the ``most`` likeliest buckets of each place, most likely first."""
+    def shard(self, cells: np.ndarray) -> np.ndarray:
+        """One number per shard, that of the bucket's outer functions."""
+        return (cells[..., :self.outer].astype(np.int64) * self.odd[:self.outer]).sum(-1)
+
+    def likeliest(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(chance, bucket, its shard) of the ``most`` likeliest buckets of each place, most likely first."""
         base = np.floor(q)
         left = base[:, :, None] + STEPS - q[:, :, None]
         step = self.width / self.radius if self.radius else 1e300
         chance = _below((left + 1) * step) - _below(left * step)
         score, code = np.ones((len(q), 1)), np.zeros((len(q), 1), np.int64)
+        shard = code
         for i in range(q.shape[1]):  # the best products of i + 1 factors extend the best of i
             cells = (base[:, i, None] + STEPS).astype(np.int64) * self.odd[i]
             score = (score[:, :, None] * chance[:, i, None, :]).reshape(len(q), -1)
             code = (code[:, :, None] + cells[:, None, :]).reshape(len(q), -1)
+            shard = code if i < self.outer else np.repeat(shard, len(STEPS), 1)
             if score.shape[1] > self.most:
                 best = np.argpartition(-score, self.most, 1)[:, :self.most]
-                score, code = np.take_along_axis(score, best, 1), np.take_along_axis(code, best, 1)
+                score, code, shard = (np.take_along_axis(v, best, 1) for v in (score, code, shard))
         order = np.argsort(-score, 1, kind="stable")
-        return np.take_along_axis(score, order, 1), np.take_along_axis(code, order, 1)
+        return tuple(np.take_along_axis(v, order, 1) for v in (score, code, shard))
 
-    def probes(self, x: np.ndarray, t: int, success: float) -> tuple[np.ndarray, np.ndarray]:
-        """(query, bucket): the buckets each query visits, most likely first; none where they fall short of ``success``."""
-        score, code = self.likeliest(self.place(x, t))
+    def visits(self, x: np.ndarray, t: int, success: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, bucket, shard): the buckets each query visits, most likely first; none where they fall short of ``success``."""
+        score, code, shard = self.likeliest(self.place(x, t))
         visit = (np.cumsum(score, 1) - score < success) & (score.sum(1, keepdims=True) >= success)
-        return np.nonzero(visit)[0], code[visit]
+        return np.nonzero(visit)[0], code[visit], shard[visit]
+
+    def probes(self, x: np.ndarray, t: int, success: float) -> tuple[np.ndarray, np.ndarray]:
+        """(query, bucket) of ``visits``."""
+        return self.visits(x, t, success)[:2]
 
 
 def estimate(rows: DataFrame, k: int, sample: int = SAMPLE) -> tuple[int, float]:
@@ -129,35 +146,42 @@ def functions_for(count: int) -> int:
     return int(np.clip(round(np.log2(max(1, count) / PER_BUCKET)), 0, MOST_FUNCTIONS))
 
 
-def _index(rows: DataFrame, hashes: Hashes) -> DataFrame:
-    """(t, bucket, id, vector): every row in every table."""
+def _places(rows: DataFrame, hashes: Hashes) -> DataFrame:
+    """(row, t, shard, bucket): the place of every row (row, vector) in every table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix_of(batch.column("vector")) if batch.num_rows else np.zeros((0, hashes.a.shape[1]))
+            if not batch.num_rows:
+                continue
+            x = matrix_of(batch.column("vector"))
             for t in range(len(hashes.a)):
-                code = hashes.code(np.floor(hashes.place(x, t)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(code), *batch.columns],
-                                                 ["t", "bucket", *batch.schema.names])
+                cells = np.floor(hashes.place(x, t))
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, (
+                    np.full(len(x), t, np.int32), hashes.shard(cells), hashes.code(cells)))], ["row", "t", "shard", "bucket"])
 
-    return rows.mapInArrow(run, f"t int, bucket long, id long, vector {rows.schema['vector'].dataType.simpleString()}")
+    return rows.select("row", "vector").mapInArrow(run, "row long, t int, shard long, bucket long")
 
 
 def _visits(queries: DataFrame, hashes: Hashes, success: float) -> DataFrame:
-    """(t, bucket, id, vector): every query at every bucket that it visits; none of a query whose list falls short in any table."""
+    """(row, t, shard, buckets): the buckets that every query (row, vector) visits, by shard; none of one whose list falls short in any table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 64):
                 batch = whole.slice(k, 64)
-                x = matrix_of(batch.column("vector"))
-                lists = [hashes.probes(x, t, success) for t in range(len(hashes.a))]
-                reached = np.all([np.isin(np.arange(len(x)), query) for query, _ in lists], 0)
-                for t, (query, bucket) in enumerate(lists):
-                    query, bucket = query[reached[query]], bucket[reached[query]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(query), t, np.int32)), pa.array(bucket), *batch.take(pa.array(query)).columns],
-                        ["t", "bucket", *batch.schema.names])
-
-    return queries.mapInArrow(run, f"t int, bucket long, id long, vector {queries.schema['vector'].dataType.simpleString()}")
+                x, rows = matrix_of(batch.column("vector")), batch.column("row").to_numpy()
+                lists = [hashes.visits(x, t, success) for t in range(len(hashes.a))]
+                reached = np.all([np.isin(np.arange(len(x)), query) for query, _, _ in lists], 0)
+                for t, found in enumerate(lists):
+                    query, bucket, shard = (v[reached[found[0]]] for v in found)
+                    order = np.lexsort((bucket, shard, query))
+                    query, bucket, shard = query[order], bucket[order], shard[order]
+                    head = np.flatnonzero(np.concatenate(([True], (query[1:] != query[:-1]) | (shard[1:] != shard[:-1])))) if len(query) else order
+                    buckets = pa.ListArray.from_arrays(pa.array(np.append(head, len(query)).astype(np.int32)), pa.array(bucket))
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (rows[query[head]], np.full(len(head), t, np.int32), shard[head])), buckets],
+                                                     ["row", "t", "shard", "buckets"])
+
+    # Few rows, each of them much work: as many tasks as a shuffle has, whatever the rows' size.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return queries.select("row", "vector").repartition(tasks, "row").mapInArrow(run, "row long, t int, shard long, buckets array<long>")
 
 
 class Best:
@@ -198,40 +222,57 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranked(index: DataFrame, visits: DataFrame, keep: int) -> DataFrame:
+def _asked(parts: list[tuple[np.ndarray, np.ndarray, pa.Array]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(queries, vectors, bucket of each visit in order, query of each visit) of a block."""
+    query, x = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    bucket = np.concatenate([p[2].flatten().to_numpy() for p in parts])
+    who = np.repeat(np.arange(len(query)), np.concatenate([np.diff(p[2].offsets.to_numpy()) for p in parts]))
+    order = np.argsort(bucket, kind="stable")
+    return query, x, bucket[order], who[order]
+
+
+def _ranked(index: DataFrame, places: DataFrame, queries: DataFrame, visits: DataFrame, keep: int) -> DataFrame:
     """(query, id, distance): per task, the nearest candidates of each query in the buckets that it visits."""
-    rows = index.groupBy("t", "bucket").agg(F.count("*").alias("n"))
-    asked = visits.groupBy("t", "bucket").agg(F.count("*").alias("m"))
-    cut = rows.join(asked, ["t", "bucket"]).select("t", "bucket", F.ceil(F.col("n") / ROWS).cast("int").alias("rs"),
-                                                   F.ceil(F.col("m") / PROBES).cast("int").alias("ps"))
+    shard = ["t", "shard"]
+    rows = places.groupBy(*shard).agg(F.count("*").alias("n"))
+    asked = visits.groupBy(*shard).agg(F.count("*").alias("m"))
+    cut = rows.join(asked, shard).select(*shard, F.ceil(F.col("n") / ROWS).cast("int").alias("rs"),
+                                         F.ceil(F.col("m") / PROBES).cast("int").alias("ps"))
 
     def every(count: str, name: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(name)
 
-    own = [F.pmod(F.xxhash64("id"), F.col(c)).cast("int") for c in ("rs", "ps")]
-    # Both sides are many times the files they come from: no broadcast by file size.
-    index, visits = index.hint("merge"), visits.hint("merge")
-    a = index.join(cut, ["t", "bucket"]).select("t", "bucket", own[0].alias("r"), every("ps", "p"), F.lit(1).alias("role"), "id", "vector")
-    b = visits.join(cut, ["t", "bucket"]).select("t", "bucket", every("rs", "r"), own[1].alias("p"), F.lit(0).alias("role"), "id", "vector")
-    unit = ["t", "bucket", "r", "p"]
+    own = [F.pmod(F.xxhash64("row"), F.col(c)).cast("int") for c in ("rs", "ps")]
+    # All of these are many times the files they come from: no broadcast by file size.
+    places, visits, index, queries = (x.hint("merge") for x in (places, visits, index, queries))
+    unit = [*shard, "r", "p"]
+    a = places.join(cut, shard).select("row", *shard, own[0].alias("r"), "ps", "bucket").join(index, "row")
+    a = a.select(*shard, "r", every("ps", "p"), F.lit(1).alias("role"), "bucket", F.lit(None).cast("array<long>").alias("buckets"), "id", "vector")
+    b = visits.join(cut, shard).select("row", *shard, "rs", own[1].alias("p"), "buckets").join(queries, "row")
+    b = b.select(*shard, every("rs", "r"), "p", F.lit(0).alias("role"), F.lit(0).cast("long").alias("bucket"), "buckets", F.col("row").alias("id"), "vector")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(keep)
-        key, asked = None, None  # the probes of the block of rows that is being read
+        key, parts, block = None, [], None  # the queries of the block of rows that is being read
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in (*unit, "role")])
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in (*unit, "role", "bucket")])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-            ids, x = batch.column("id").to_numpy(), matrix_of(batch.column("vector"))
+            ids, x, lists = batch.column("id").to_numpy(), matrix_of(batch.column("vector")), batch.column("buckets")
             for s, e in zip([0, *cuts], [*cuts, len(ids)]):
                 at = tuple(keys[:4, s].tolist())
                 if keys[4, s] == 0:
-                    more = key == at and asked is not None
-                    asked = (np.concatenate((asked[0], ids[s:e])), np.concatenate((asked[1], x[s:e]))) if more else (ids[s:e], x[s:e])
-                    key = at
+                    if key != at:
+                        key, parts, block = at, [], None
+                    parts.append((ids[s:e], x[s:e], lists.slice(s, e - s)))
                 elif key == at:
-                    best.add(asked[0], ids[s:e], distances(asked[1], x[s:e]))
+                    if block is None:
+                        block, parts = _asked(parts), []
+                    query, vectors, bucket, who = block
+                    lo, hi = np.searchsorted(bucket, keys[5, s], "left"), np.searchsorted(bucket, keys[5, s], "right")
+                    if hi > lo:
+                        best.add(query[who[lo:hi]], ids[s:e], distances(vectors[who[lo:hi]], x[s:e]))
             if best.size > 500_000:
                 best.flush()
                 if best.size > 250_000:
@@ -239,7 +280,8 @@ def _ranked(index: DataFrame, visits: DataFrame, keep: int) -> DataFrame:
                     best = Best(keep)
         yield best.flush()
 
-    return a.union(b).repartition(*unit).sortWithinPartitions(*unit, "role", "id").mapInArrow(run, "query long, id long, distance double")
+    both = a.unionByName(b).repartition(*unit).sortWithinPartitions(*unit, "role", "bucket", "id")
+    return both.mapInArrow(run, "query long, id long, distance double")
 
 
 def nearest(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: int = NEAREST, success: float = SUCCESS) -> DataFrame:
@@ -249,7 +291,8 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: in
     rows = rows.groupBy("id", "vector").agg(F.max("asks").alias("asks"))
     # Only the k + 1 smallest ids of equal vectors can be among anyone's k nearest.
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    index = stored(rows.select("id", "vector", place.alias("place")).where(F.col("place") <= k + 1).drop("place"))
+    index = rows.select("id", "vector", place.alias("place")).where(F.col("place") <= k + 1)
+    index = stored(index.select(F.monotonically_increasing_id().alias("row"), "id", "vector"))  # numbered as they are written
     asks = rows.where("asks")
     dim, radius = estimate(index, k)
     if not dim:
@@ -257,20 +300,21 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, is_query: Column, k: in
     index, asks = (x.where(F.size("vector") == dim) for x in (index, asks))
     count = index.count()
     hashes = Hashes(dim, functions_for(count), radius, success=success)
-    named = stored(asks.groupBy("vector").agg(F.min("id").alias("least")))
-    members = asks.join(named, "vector").select("least", F.col("id").alias("member"))
-    found = _ranked(_index(index, hashes), _visits(named.select(F.col("least").alias("id"), "vector"), hashes, success), k + 1)
-    found = found.groupBy("query", "id").agg(F.min("distance").alias("distance"))
-    found = stored(found)
-    enough = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(k + 1, count)).select(F.col("query").alias("least"))
-    lacking = named.join(enough, "least", "left_anti")
+    named = stored(asks.select("vector").distinct().select(F.monotonically_increasing_id().alias("row"), "vector"))
+    members = asks.join(named, "vector").select("row", F.col("id").alias("member"))
+    found = _ranked(index, stored(_places(index, hashes)), named, stored(_visits(named, hashes, success)), k + 1)
+    found = stored(found.groupBy("query", "id").agg(F.min("distance").alias("distance")))
+    enough = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(k + 1, count)).select(F.col("query").alias("row"))
+    lacking = named.join(enough, "row", "left_anti")
     if not lacking.isEmpty():  # queries whose buckets hold too few or whose list fell short: one bucket of all rows, in blocks
-        whole = [F.lit(0).alias("t"), F.lit(0).cast("long").alias("bucket")]
-        found = found.union(_ranked(index.select(*whole, "id", "vector"), lacking.select(*whole, F.col("least").alias("id"), "vector"), k + 1))
+        one, zero = [F.lit(0).alias("t"), F.lit(0).cast("long").alias("shard")], F.lit(0).cast("long")
+        found = found.union(_ranked(index, index.select("row", *one, zero.alias("bucket")), named,
+                                    lacking.select("row", *one, F.array(zero).alias("buckets")), k + 1))
         found = found.groupBy("query", "id").agg(F.min("distance").alias("distance"))
     order = Window.partitionBy("query").orderBy("distance", "id")
     found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1).drop("place")
-    own = members.join(found, F.col("least") == F.col("query")).where("member <> id").select(F.col("member").alias("query"), "id", "distance")
+    own = members.join(found, F.col("row") == F.col("query")).where("member <> id").select(F.col("member").alias("query"), "id", "distance")
+    own = own.groupBy("query", "id").agg(F.min("distance").alias("distance"))  # an id with several vectors
     return own.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "rank", "id", "distance")
 
 
