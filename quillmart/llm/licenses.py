@@ -13,7 +13,9 @@ the identifiers before the break and restricts nothing.
 ``score`` is 0 for no evidence, and otherwise 1 - 0.5 ** (distinct labels + tags that
 parse), times at least a half, and more the more restrictive the licences found are.
 
-Defined results: a null or empty text has no words, labels or score; repeated rows have
+Defined results: a null or empty text has no words, labels or score; very long texts
+are read whole, and a tag's expression only to its end, so time follows the length; of
+equally restrictive sides of ``or`` either gives the result; repeated rows have
 equal results; a null id stays null; an empty table gives no rows; other columns are
 not read.
 """

@@ -9,7 +9,8 @@ number may be open, and when one more is needed the fullest closes.  A task hold
 one number per open bin and nothing per document; it gets at most
 ``PIECES_PER_TASK`` pieces, so that few bins stay part-filled for many full ones.
 
-Defined results: a null or empty text is its end id alone (one piece of length 1);
+Defined results: a null or empty text is its end id alone (one piece of length 1); very
+long texts are encoded whole and become as many pieces as it takes;
 repeated rows, ids included, are packed once each; a null id stays null; an empty
 table gives no rows; other columns are not read.  Sequence numbers are unique but
 not consecutive.  Pieces are read from a checkpoint and dealt by their contents, so

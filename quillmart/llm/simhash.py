@@ -12,6 +12,8 @@ A task returns a spanning star of the links it finds rather than all pairs; star
 join into components.  Equal fingerprints are one node from the start.
 
 Defined results: a null or empty text has fingerprint zero, linked like any other;
+very long texts are read whole, in a slice of their own; a bit set in exactly half of
+the shingles is 0;
 repeated rows have equal fingerprints; a component is named by its smallest id,
 null ids aside (null if it has no other); an empty table gives no rows; no other
 column is read.

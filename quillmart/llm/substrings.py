@@ -19,8 +19,9 @@ Settled windows go back to their documents as bit masks beside the anchor's plac
 Documents are written once, bucketed by a 64-bit key of id and text, so the joins that
 bring places back to the texts move only the places.
 
-Defined results: a null or empty text has no words and nothing is removed; repeated
-rows repeat all their windows; a text below ``window`` words keeps all of them; an
+Defined results: a null or empty text has no words and nothing is removed; very long
+texts are read whole, in a slice of their own; of equal least k-mers of a window the
+first is its anchor; repeated rows repeat all their windows; a text below ``window`` words keeps all of them; an
 empty table gives no rows; other columns are not read by ``repeated`` and are kept by
 ``strip``.  A word is a run of characters other than the ASCII white space.
 """
