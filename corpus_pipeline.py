@@ -5,6 +5,13 @@ Every stage takes the documents that the one before it kept and returns the colu
 documents go, one document of each near-duplicate group stays, word windows that recur
 go (documents that lose all their words with them), and secret spans are masked.
 Documents that a stage finds nothing in are passed on as they are.
+
+Defined results: a null or empty text is not toxic, is a near-duplicate of every other
+null or empty one, has nothing to strip or mask, and packs as its end id alone; very long
+texts are read whole in every stage; of a group of near-duplicates the least id stays
+(null last), repeated rows once; of masked spans that overlap one mark is left; empty
+tables pass through as such; further columns are kept, whatever their names, up to the
+packing, which returns pieces.
 """
 
 from __future__ import annotations
