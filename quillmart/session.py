@@ -16,6 +16,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from quillmart.sources.files import listing, remove
+
+#: Names of the scratch folders that this process has made.
+_MADE: set[str] = set()
+
 _CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -76,6 +81,29 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return apply_query_conf(spark)
 
 
+#: Names that ``scratch_dir`` gives, and the folders that ``DataFrame.checkpoint`` makes.
+_SCRATCH = re.compile(r"([a-z][a-z_-]*-)?[0-9a-f]{12}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
+def sweep(spark: SparkSession, hours: float = 7 * 24) -> list[str]:
+    """Remove what runs left in the shared checkpoint folder; returns the names that went.
+
+    Folders go that ``scratch_dir`` or ``DataFrame.checkpoint`` named and that were last
+    changed ``hours`` ago or longer, those that this session made aside.  ``hours`` has to
+    exceed the longest run that shares the folder; anything else in the folder stays.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        return []
+    base = base.rstrip("/")
+    own = (spark.sparkContext.getCheckpointDir() or "").rstrip("/").rsplit("/", 1)[-1]
+    gone = [name for name, (folder, age) in listing(spark, base).items()
+            if folder and age >= hours * 3600 and _SCRATCH.fullmatch(name) and name != own and name not in _MADE]
+    for name in gone:
+        remove(spark, f"{base}/{name}")
+    return gone
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
@@ -91,5 +119,6 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
         base = tempfile.mkdtemp(prefix="quillmart-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-    base = base.rstrip("/")
-    return f"{base}/{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
+    made = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
+    _MADE.add(made)
+    return f"{base.rstrip('/')}/{made}"
