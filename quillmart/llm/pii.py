@@ -16,7 +16,9 @@ that they reveal; texts that hold no entity are left alone.
 
 Counting: every document's distinct words and beginnings are counted (combined before
 the shuffle), as are its distinct (entity, term) pairs; thresholds are joins of these
-tables.  Documents never meet each other, and a value or term that a third of the
+tables.  A document holds the terms of its contexts too where its own words don't show
+them: one that a value is written against (``host10.0.0.1``), or whose small letters are
+more than one character.  Documents never meet each other, and a value or term that a third of the
 documents hold is one row a task after combining.
 
 Patterns are the contract's, made possessive and tied to where a run begins, which
@@ -120,8 +122,19 @@ def _terms(s: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(words, lambda w: ~F.contains(w, F.lit("@"))), F.lower))
 
 
+def _events(terms: Column) -> Column:
+    """The terms and their beginnings."""
+    return F.concat(terms, F.array_distinct(F.transform(terms, _stem)))
+
+
+def _own(text: Column) -> Column:
+    """What a text's own words give."""
+    return _events(F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+")), lambda w: F.length(w) >= STEM))
+
+
 def _found(rows: DataFrame) -> DataFrame:
-    """(id, th, row, base, contexts) of rows (id, text); contexts hold each value's entity and surroundings."""
+    """(id, th, row, base, contexts, more) of rows (id, text); contexts hold each value's entity and surroundings,
+    ``more`` what their terms give beyond the text's own words."""
     text = F.col("text")
     values = {k: f"__{k}" for k in BASE}
 
@@ -133,15 +146,16 @@ def _found(rows: DataFrame) -> DataFrame:
     contexts = F.concat(*[F.transform(c, context(k)) for k, c in values.items()])
     base = places(F.concat(*[F.transform(c, lambda s: F.named_struct(
         F.lit("start"), s["start"], F.lit("end"), s["end"], F.lit("kind"), s["kind"])) for c in values.values()]))
-    return slim.select("id", F.xxhash64("text").alias("th"), F.monotonically_increasing_id().alias("row"),
-                       base.alias("base"), contexts.alias("contexts"))
+    found = slim.select("id", "text", F.monotonically_increasing_id().alias("row"), base.alias("base"), contexts.alias("contexts"))
+    said = _events(F.array_distinct(F.flatten(F.transform("contexts", _terms))))
+    more = F.when(F.size("contexts") > 0, F.array_except(said, _own(text))).otherwise(F.array().cast("array<string>"))
+    return found.select("id", F.xxhash64("text").alias("th"), "row", "base", "contexts", more.alias("more"))
 
 
-def document_counts(texts: DataFrame) -> DataFrame:
-    """(event, n_event): the documents that hold each word and each beginning of one."""
-    words = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")), lambda w: F.length(w) >= STEM)
-    events = F.concat(words, F.array_distinct(F.transform(words, _stem)))
-    return texts.select(F.explode(events).alias("event")).groupBy("event").agg(F.count(F.lit(1)).alias("n_event"))
+def document_counts(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """(event, n_event): the documents that hold each word or term and each beginning of one."""
+    events = texts.select(F.explode(_own(F.col("text"))).alias("event"))
+    return events.union(found.select(F.explode("more"))).groupBy("event").agg(F.count(F.lit(1)).alias("n_event"))
 
 
 def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -158,7 +172,7 @@ def disclosures(found: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = held.select("th", F.explode(F.array_distinct(F.flatten(F.transform("contexts", pairs_of)))).alias("p"))
     pairs = pairs.groupBy("p.entity", "p.event").agg(F.count(F.lit(1)).alias("n_both"), F.count_distinct("th").alias("texts"))
     pairs = pairs.where(F.col("texts") >= LEAST_TEXTS)
-    known = pairs.join(document_counts(texts), "event").join(entities, "entity").crossJoin(F.broadcast(total))  # one row
+    known = pairs.join(document_counts(texts, found), "event").join(entities, "entity").crossJoin(F.broadcast(total))  # one row
     information = F.log2(F.col("n") / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * F.col("n") / (F.col("n_entity") * F.col("n_event")))
     exceeds = (information > 0) & (shared >= DISCLOSURE * information)
@@ -181,10 +195,10 @@ def _scan(rows: DataFrame) -> DataFrame:
     sides = sides.select("row", "entity", "side.at", F.explode(matches(F.col("side.piece"), 0, TOKEN)).alias("w"))
     said = sides.where(~F.contains(F.col("w.value"), F.lit("@"))).select(
         "row", "entity", F.lower("w.value").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"))
-    more = said.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
-    more = more.groupBy(F.col("row").alias("m_row")).agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
-    both = found.join(more, F.col("row") == F.col("m_row"), "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("more", F.slice("base", 1, 0))))
+    marked = said.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("kind").alias("kind"))
+    marked = marked.groupBy(F.col("row").alias("m_row")).agg(F.collect_list(F.struct("start", "kind", "end")).alias("marked"))
+    both = found.join(marked, F.col("row") == F.col("m_row"), "left")
+    spans = F.array_sort(F.concat("base", F.coalesce("marked", F.slice("base", 1, 0))))
     return both.select("id", "th", "row", "base", spans.alias("spans"))
 
 

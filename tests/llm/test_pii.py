@@ -142,6 +142,23 @@ def test_terms_are_generalised_or_removed(spark, clash):
     assert text[0] == "gat* [IP]  number one" and text[4] == other[0] and text[44] == "mail [EMAIL] now" and text[45] is None
 
 
+@pytest.mark.parametrize("near", ["wirhost10.1.2.3 one", "one 10.1.2.3wirhost", "one a.b@c.d\u00e9wirhost", "\u0130wirhost 10.1.2.3"])
+def test_terms_written_against_a_value_count(spark, near):
+    # Before, no document held these terms by count, though contexts showed them.
+    docs = list(enumerate([*(f"{near} number {w}" for w in ("two", "three", "four")), *(f"number text {i}" for i in range(40))]))
+    rows = {r.id: r for r in pii.scan(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").collect()}
+    for i, t in docs[:3]:
+        assert any("wirhost" in t[s.start:s.end] for s in rows[i].spans if s.kind in (pii.GENERALISE, pii.REMOVE)), (t, rows[i].spans)
+    assert not any(rows[i].spans for i, _ in docs[3:])
+
+
+def test_terms_by_a_value_and_elsewhere_are_counted_once_a_document(spark):
+    docs = [(1, "wirhost10.1.2.3 wirhost"), (2, "wirhost10.1.2.3"), (3, "a wirhost b"), (4, "none")]
+    rows = pii._keyed(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text")
+    counts = {r.event: r.n_event for r in pii.document_counts(rows, pii._found(rows)).collect()}
+    assert counts["wirhost"] == 3 and counts["wir*"] == 3 and counts["wirhost10"] == 2 and counts["none"] == 1
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "mail a.b@c.de now")], "doc_id long, text string")
     for out in (pii.scan(df, "doc_id", "text"), pii.sanitise(df, "doc_id", "text")):
