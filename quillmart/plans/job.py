@@ -35,6 +35,7 @@ from quillmart.plans.marts import (
     BRAND_COLUMNS,
     ITEM_MART_CLUSTER,
     ITEM_MART_COLUMNS,
+    MART_ROW,
     PARTITION_SOURCE,
     _metrics,
 )
@@ -71,8 +72,8 @@ def build_marts(spark: SparkSession, src: Sources, p: Params, out_dir: str,
         rows = spark.read.schema(rows.schema).parquet(path)
         item = _metrics(rows, p.as_of, ITEM_MART_COLUMNS)
         adherence = _metrics(rows.filter(F.coalesce(_MARK, F.lit(True))), p.as_of, ADHERENCE_MART_COLUMNS)
-        publish_mart(item, out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER, num_partitions)
-        publish_mart(adherence, out[ADHERENCE_MART], PARTITION_SOURCE, ADHERENCE_MART_CLUSTER, num_partitions)
+        publish_mart(item, out[ITEM_MART], PARTITION_SOURCE, ITEM_MART_CLUSTER, num_partitions, MART_ROW)
+        publish_mart(adherence, out[ADHERENCE_MART], PARTITION_SOURCE, ADHERENCE_MART_CLUSTER, num_partitions, MART_ROW)
     finally:
         remove(spark, path)
     for base in out.values():

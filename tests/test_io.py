@@ -63,6 +63,17 @@ def test_write_mart_splits_a_hot_day(spark):
     assert read_mart(spark, path).count() == 20000
 
 
+def test_write_mart_keeps_its_number_of_ranges(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(400).select("id", F.lit("2000-01-01").cast("timestamp_ntz").alias("created"), F.lit("same").alias("c"))
+    path = scratch_dir(spark, "ranges")
+    write_mart(df, path, "created", ["c"], row_columns=["id"])
+    back = read_mart(spark, path)
+    # Small ranges are not merged, and rows that differ in row_columns alone are spread.
+    assert len(back.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert back.count() == 400
+
+
 def test_publish_mart_versions(spark):
     from pyspark.sql import functions as F
 

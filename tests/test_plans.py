@@ -59,3 +59,16 @@ def test_the_job_makes_wide_rows_once(spark):
     formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     wide = [b for b in formatted.split("\n\n") if ") Exchange" in b.split("\n")[0] and "task_html_description" in b]
     assert len(wide) == 1 and not [b for b in formatted.split("\n\n") if ") Union" in b.split("\n")[0] and "task_html_description" in b]
+
+
+def test_item_columns_are_derived_before_projects_multiply_rows(spark):
+    # Time zones and due texts are read once per item: below the join to its projects, not above it.
+    shown = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        for key in ("item_mart", "adherence_mart", "denormalized_items"):
+            text = QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+            above, joined, below = text.partition("Join LeftOuter")
+            assert joined and "convert_timezone" not in above and "convert_timezone" in below, key
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", shown)
